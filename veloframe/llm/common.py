@@ -166,3 +166,18 @@ def spread(counts: np.ndarray) -> np.ndarray:
     counts = np.asarray(counts, np.int64)
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def extended(docs: DataFrame, columns: str, compute) -> DataFrame:
+    """``docs`` with ``columns`` (DDL), which ``compute`` makes from each Arrow batch. Columns of the same names are replaced."""
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(columns)
+    kept = docs.drop(*new.names)
+    schema = StructType(kept.schema.fields + new.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], schema.names)
+
+    return kept.mapInArrow(run, schema)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from veloframe.llm import packing, ring, token_files
+from veloframe.llm import decontamination, languages, licences, packing, pii, ring, token_files
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_packing": packing.op2_packing,
     "op3_sharding": ring.op3_sharding,
+    "op5_decontamination": decontamination.op5_decontamination,
+    "op6_language_id": languages.op6_language_id,
+    "op7_personal_data": pii.op7_personal_data,
+    "op8_licence_scan": licences.op8_licence_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
