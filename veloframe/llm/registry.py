@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veloframe.llm import decontamination, languages, licences, packing, pii, ring, token_files
+from veloframe.llm import decontamination, jaccard, languages, licences, packing, pii, ring, token_files
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language_id": languages.op6_language_id,
     "op7_personal_data": pii.op7_personal_data,
     "op8_licence_scan": licences.op8_licence_scan,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
