@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veloframe.llm import decontamination, jaccard, languages, licences, packing, pii, ring, token_files
+from veloframe.llm import decontamination, jaccard, languages, licences, packing, pii, ring, token_files, vectors
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_personal_data": pii.op7_personal_data,
     "op8_licence_scan": licences.op8_licence_scan,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
+    "op10_vector_neardup": vectors.op10_vector_neardup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
