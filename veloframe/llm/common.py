@@ -56,7 +56,9 @@ def byte_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     """A string column as one array of UTF-8 bytes and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
+    column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     whole = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from veloframe.llm.common import SPACED, mixed, release, staged, word_steps
 from veloframe.llm.components import Forest, connected
+from veloframe.llm.exchange import answered_values, shared_values
 
 #: Members and queries that one search task holds.
 BLOCK = 1024
@@ -70,77 +71,18 @@ def overlap(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-(percent * (a + b)) // (100 + percent))
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Sorted u32 as differences, a plane for each byte, so that the shuffle's compression finds the empty ones."""
-    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32)
-
-
-def _power(n: float) -> int:
-    return 1 << max(0, int(np.ceil(np.log2(max(1.0, n)))))
-
-
 def shared_shingles(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Step 1: doc_id, n, class, and shared (the shared shingles; null for what links with nothing) of each row."""
-    bytes_ = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    ranges, blocks = _power(bytes_ / 3e6), _power(bytes_ / 8e6)
-    bits = ranges.bit_length() - 1
-    rows = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
-
-    def place(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64), (h >> np.uint64(32 - bits)).astype(np.uint32)
-
-    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(shingle_sets(batch.column("text"), size))
-            if not any(map(len, sets)):
-                continue
-            own = np.repeat(batch.column("block").to_numpy(), [len(x) for x in sets])
-            which, rest = place(np.concatenate(sets))
-            key = (which * blocks + own).astype(np.uint64)
-            both = np.sort((key << np.uint64(32)) | rest)
-            key, rest = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            cuts = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
-            first = key[cuts[:-1]]
-            for lo in range(0, len(first), 8192):
-                part = first[lo : lo + 8192]
-                raw = [_packed(rest[a:b]) for a, b in zip(cuts[lo : lo + len(part)], cuts[lo + 1 : lo + len(part) + 1], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array((part // blocks).astype(np.int32)), pa.array((part % blocks).astype(np.int32)), pa.array(raw, pa.binary())], ["range", "block", "raw"])
-
-    def answered(table: pa.Table) -> pa.Table:
-        lists = [_unpacked(x) for x in table.column("raw").to_pylist()]
-        own = np.repeat(table.column("block").to_numpy(), [len(x) for x in lists])
-        values = np.concatenate(lists)
-        order = np.argsort(values, kind="stable")
-        values, own = values[order], own[order]
-        same = values[1:] == values[:-1]
-        twice = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        both = np.unique((own[twice].astype(np.uint64) << np.uint64(32)) | values[twice])
-        key, rest = (both >> np.uint64(32)).astype(np.int32), (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        cuts = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
-        return pa.table({
-            "block": pa.array(key[cuts[:-1]]), "range": pa.array(np.full(len(cuts) - 1, table.column("range")[0].as_py(), np.int32)),
-            "raw": pa.array([_packed(rest[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-        })
-
-    answers = staged(rows.mapInArrow(sent, "range int, block int, raw binary").groupBy("range").applyInArrow(answered, "block int, range int, raw binary"), "shared")
-    release(docs.sparkSession)
+    rows, answers, place = shared_values(docs, lambda column: shingle_sets(column, size))
 
     def judged(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = np.sort(np.concatenate([np.zeros(0, np.uint64), *((np.uint64(r) << np.uint64(32)) | _unpacked(x) for r, x in zip(right.column("range").to_pylist(), right.column("raw").to_pylist(), strict=True))]))
+        known = answered_values(right)
         n, classes, shared = [], [], []
         for chunk in left.column("text").chunks:
             for own in shingle_sets(chunk, size):
                 n.append(len(own))
                 classes.append(class_id(own))
-                which, rest = place(own)
-                wanted = (which.astype(np.uint64) << np.uint64(32)) | rest
-                at = np.searchsorted(known, wanted)
-                kept = own[known[np.minimum(at, len(known) - 1)] == wanted] if len(known) else own[:0]
+                kept = own[place(own, known)]
                 shared.append(kept.tobytes() if len(own) and len(kept) >= least_overlap(len(own), percent) else None)
         return pa.table({"doc_id": left.column("doc_id").cast(pa.int64()), "n": pa.array(n, pa.int64()), "class": pa.array(classes, pa.int64()), "shared": pa.array(shared, pa.binary())})
 

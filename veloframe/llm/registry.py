@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from veloframe.llm import decontamination, jaccard, languages, licences, packing, pii, ring, token_files, vectors
+from veloframe.llm import decontamination, jaccard, languages, licences, packing, pii, ring, substrings, token_files, vectors
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_packing": packing.op2_packing,
     "op3_sharding": ring.op3_sharding,
+    "op4_substring_dedup": substrings.op4_substring_dedup,
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_language_id": languages.op6_language_id,
     "op7_personal_data": pii.op7_personal_data,
