@@ -24,7 +24,7 @@ from veloframe.llm.common import byte_column, release, scratch, staged, steps
 from veloframe.llm.tokens import default_vocabulary, encoder
 
 #: Blocks that are coded side by side.
-GROUP = 32
+GROUP = 128
 
 
 def token_rows(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -175,9 +175,9 @@ def digests(pieces: DataFrame) -> DataFrame:
 
     @F.pandas_udf("long")
     def joined(pieces):
-        return pieces.map(lambda x: rans.crc_joined([(p["crc"], 4 * p["n"]) for p in x]))
+        return pieces.map(lambda x: None if x is None else rans.crc_joined([(p["crc"], 4 * p["n"]) for p in x]))
 
-    return whole.select("doc_id", "start", "n_tokens", F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(joined("pieces")).alias("ids_crc32"))
+    return whole.select("doc_id", "start", "n_tokens", F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(joined(F.when(F.size("pieces") > 1, F.col("pieces")))).alias("ids_crc32"))
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

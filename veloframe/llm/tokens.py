@@ -15,10 +15,19 @@ import re
 import numpy as np
 
 #: Parts that a worker remembers; each takes some 200 bytes.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 
 _RUN = re.compile(r"\s (\s|\Z)")
 _EDGE = re.compile(r"\A\s|\s\Z|\A\Z")
+#: Behind letters these make one piece of their own, however many there are.
+_MARKS = ",.;:!?)]\"%*$#&"
+
+
+def _run(text: str) -> bool:
+    """Whether a space may stand inside or at the end of a run of white space."""
+    if text.isascii():
+        return text[-1] == " " or "  " in text or any(f"{c} " in text for c in "\n\t\r\v\f")
+    return _RUN.search(text) is not None
 
 
 class Encoder:
@@ -32,7 +41,10 @@ class Encoder:
         self.library.encode_special_tokens = True
         self.size = self.library.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.spaced = np.zeros(self.size, bool)
+        self.spaced[[i for x, i in self.library.get_vocab().items() if x.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.kind).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -43,50 +55,63 @@ class Encoder:
         odd = [x for x in new if _EDGE.search(x)]
         out = dict(zip(odd, self.whole([f" {x}" for x in odd]), strict=True))
         if plain:
-            got = self.library.encode(f" {' '.join(plain)}", add_special_tokens=False)
-            ids = np.array(got.ids, self.kind)
-            at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-            begins = np.concatenate([[0], np.cumsum([len(x) + 1 for x in plain])])
-            cuts = np.searchsorted(at, begins) * self.kind.itemsize
+            # The only spaces are those before the parts, so a part begins where a token does that begins with one.
+            ids = np.array(self.library.encode_batch_fast([f" {' '.join(plain)}"], add_special_tokens=False)[0].ids, self.kind)
+            cuts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * self.kind.itemsize
             raw = ids.tobytes()
             out.update((x, raw[a:b]) for x, a, b in zip(plain, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         return out
 
+    def _resolved(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not known: letters with marks behind them from their two pieces, others from the library."""
+        known, heads, new = self.known, {}, set()
+        for x in missing:
+            head = x.rstrip(_MARKS)
+            if head != x and head.isalpha():
+                heads[x] = head
+                if head not in known:
+                    new.add(head)
+            else:
+                new.add(x)
+        got = self.parts(sorted(new)) if new else {}
+        marks = {x[len(h) :] for x, h in heads.items()} - self.marks.keys()
+        if marks:
+            order = sorted(marks)
+            self.marks.update(zip(order, self.whole(order), strict=True))
+        out = dict(got)
+        for x, h in heads.items():
+            out[x] = (known.get(h) or got[h]) + self.marks[x[len(h) :]]
+        if len(known) + len(out) <= REMEMBERED // 3:
+            known.update(out)
+        elif len(known) + len(got) <= REMEMBERED:
+            known.update(got)
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null counts as empty."""
         out: list[bytes] = [b""] * len(texts)
         cut, odd = [], []
         for i, text in enumerate(texts):
             if text:
-                (odd if _RUN.search(text) else cut).append(i)
+                (odd if _run(text) else cut).append(i)
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
             out[i] = ids
         split = [texts[i].split(" ") for i in cut]
         heads = self.whole([x[0] for x in split])
-        known = self.known
-        new = set().union(*(x[1:] for x in split)).difference(known) if split else set()
-        if new:
-            got = self.parts(sorted(new))
-            if len(known) + len(got) <= REMEMBERED:
-                known.update(got)
-            else:
-                known = Both(known, got)
+        get, found, missing = self.known.get, [], set()
         for i, head, parts in zip(cut, heads, split, strict=True):
-            out[i] = head + b"".join(map(known.__getitem__, parts[1:]))
+            parts[0] = ""
+            ids = list(map(get, parts))
+            ids[0] = head
+            found.append(ids)
+            if None in ids:
+                missing.update([p for p, x in zip(parts, ids, strict=True) if x is None])
+        new = self._resolved(missing) if missing else {}
+        for i, parts, ids in zip(cut, split, found, strict=True):
+            out[i] = b"".join([new[p] if x is None else x for p, x in zip(parts, ids, strict=True)] if None in ids else ids)
         return out
 
 
-class Both(dict):
-    """New parts first, then the remembered ones."""
-
-    def __init__(self, old: dict, new: dict):
-        super().__init__(new)
-        self.old = old
-
-    def __missing__(self, key: str) -> bytes:
-        return self.old[key]
-
-
 def encoder(vocabulary: str, made: dict = {}) -> Encoder:  # noqa: B006  one for each process
     if vocabulary not in made:
         made[vocabulary] = Encoder(vocabulary)
