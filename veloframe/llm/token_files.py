@@ -11,6 +11,7 @@ own start; a text longer than a block is cut into several; an empty table gives
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,8 +139,8 @@ def write_tokens(docs: DataFrame, path: str | None = None, vocabulary: str | Non
     return TokenFiles(path, vocabulary)
 
 
-def decoded(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Blocks to pieces of documents: (part, doc_id, start, skipped, n, ids as little-endian u32)."""
+def decoded(batches: Iterator[pa.RecordBatch], counts: np.ndarray, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks to pieces of documents: (part, doc_id, start, skipped, n, crc32 and ids as little-endian u32)."""
     table = rans.Table(counts)
     for batch in batches:
         for lo in range(0, batch.num_rows, GROUP):
@@ -148,13 +149,16 @@ def decoded(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[p
             for row, ids in zip(rows, rans.decode([r["payload"] for r in rows], table), strict=True):
                 raw, at = ids.astype("<u4").tobytes(), 0
                 for d in row["documents"]:
-                    out.append((row["part"], d["doc_id"], d["start"], d["skipped"], d["n"], raw[4 * at : 4 * (at + d["n"])]))
+                    own = raw[4 * at : 4 * (at + d["n"])]
+                    out.append((row["part"], d["doc_id"], d["start"], d["skipped"], d["n"], zlib.crc32(own), own if with_ids else None))
                     at += d["n"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "doc_id", "local_start", "skipped", "n", "ids"])
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["part", "doc_id", "local_start", "skipped", "n", "crc", "ids"])
 
 
-def read_tokens(spark: SparkSession, files: TokenFiles) -> DataFrame:
-    """Pieces of documents from the blocks: doc_id, start (ids of all documents before its own), skipped (its own ids before the piece), n, ids."""
+def read_tokens(spark: SparkSession, files: TokenFiles, with_ids: bool = True) -> DataFrame:
+    """Pieces of documents from the blocks: doc_id, start (ids of all documents before its own), skipped (its own ids before the
+    piece), n, crc (of the ids as little-endian u32) and ids (null unless ``with_ids``)."""
     counts = np.zeros(encoder(files.vocabulary).size, np.int64)
     for row in spark.read.schema("id int, n long").parquet(f"{files.path}/frequencies").collect():
         counts[row.id] = row.n
@@ -163,22 +167,24 @@ def read_tokens(spark: SparkSession, files: TokenFiles) -> DataFrame:
         bases.append((row.part, at))
         at += row.n_tokens
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{files.path}/blocks")
-    pieces = blocks.mapInArrow(lambda b: decoded(b, counts), "part int, doc_id long, local_start long, skipped long, n long, ids binary")
+    pieces = blocks.mapInArrow(lambda b: decoded(b, counts, with_ids), "part int, doc_id long, local_start long, skipped long, n long, crc long, ids binary")
     first = spark.createDataFrame(bases, "part int, base long")
-    return pieces.join(F.broadcast(first), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "skipped", "n", "ids")
+    return pieces.join(F.broadcast(first), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "skipped", "n", "crc", "ids")
 
 
 def digests(pieces: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document; a document is known by its start."""
-    sums = pieces.select("doc_id", "start", "skipped", "n", F.crc32("ids").alias("crc"))
-    whole = sums.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("skipped", "crc", "n"))).alias("pieces"))
+    piece = F.struct("skipped", "crc", "n")
+    documents = pieces.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sort_array(F.collect_list(piece)).alias("pieces"))
 
     @F.pandas_udf("long")
     def joined(pieces):
-        return pieces.map(lambda x: None if x is None else rans.crc_joined([(p["crc"], 4 * p["n"]) for p in x]))
+        return pieces.map(lambda x: rans.crc_joined([(p["crc"], 4 * p["n"]) for p in x]))
 
-    return whole.select("doc_id", "start", "n_tokens", F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(joined(F.when(F.size("pieces") > 1, F.col("pieces")))).alias("ids_crc32"))
+    several = F.size("pieces") > 1
+    single = documents.filter(~several).select("doc_id", "start", "n_tokens", F.col("pieces")[0]["crc"].alias("ids_crc32"))
+    return single.union(documents.filter(several).select("doc_id", "start", "n_tokens", joined("pieces")))
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(read_tokens(spark, write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    return digests(read_tokens(spark, write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet")), with_ids=False))
