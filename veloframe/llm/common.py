@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 STEP_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession, own: dict = {}) -> str:  # noqa: B006  one folder for each application
     """The cluster's checkpoint folder; only where none is set (tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="veloframe-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        name = spark.sparkContext.applicationId
+        found = own.get(name) or own.setdefault(name, tempfile.mkdtemp(prefix="veloframe-"))
     return found
 
 
