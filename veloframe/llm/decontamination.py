@@ -166,10 +166,11 @@ def _extended_in_place(docs: DataFrame, compute) -> DataFrame:
     """The three result columns, at the end of ``docs``, are made anew from their old values."""
     names = [c for c in docs.columns if c not in ("n_words", "hit_spans", "hit_items")]
     docs = docs.select(*names, "n_words", "hit_spans", "hit_items")
+    columns = docs.columns
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *compute(batch)], docs.columns)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *compute(batch)], columns)
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -188,16 +189,14 @@ def _joined(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_span: int = 200, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without benchmark passages, with its own columns: the passages' words and what stands between them are cut from
     the text. A document goes whole if a passage has over ``max_span`` words or passages are over ``max_coverage`` of its words."""
-    found = find_benchmark(docs.withColumn("_text", F.col("text")).drop("n_words", "hit_spans", "hit_items"), benchmark, window)
+    found = find_benchmark(docs, benchmark, window)
     hit = F.expr("aggregate(hit_spans, 0, (a, s) -> a + s.end - s.start)")
     keep = (F.size("hit_spans") == 0) | (F.expr("forall(hit_spans, s -> s.end - s.start <= {})".format(max_span)) & (hit <= max_coverage * F.col("n_words")))
-    raw = F.col("text").cast("binary")
     cut = F.expr(
         "cast(aggregate(hit_spans, named_struct('at', 0, 'out', cast('' as binary)),"
         " (a, s) -> named_struct('at', s.byte_end, 'out', concat(a.out, substring(cast(text as binary), a.at + 1, s.byte_start - a.at))),"
         " a -> concat(a.out, substring(cast(text as binary), a.at + 1, octet_length(text) - a.at))) as string)"
     )
-    del raw
     return found.filter(keep).withColumn("text", F.when(F.size("hit_spans") > 0, cut).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
