@@ -1,7 +1,7 @@
 """Which 64-bit values more than one document has: exact, in one shuffle of packed lists.
 
-Documents are dealt to blocks by hash. A batch sorts its documents' values by range (their high bits) and block and sends, for each pair,
-one packed list of the next 32 bits. A range finds the values that occur more than once and answers to each block that has them, so only
+Documents are dealt to blocks by hash. A batch sorts its documents' values by range (their high bits) and block and sends, for each range,
+one row of packed lists, one list of the next 32 bits for each block. A range finds the values that occur more than once and answers to each block that has them, so only
 shared values travel back. Values that agree in range and these 32 bits count as shared, which only lets more through. A value that a third of
 all documents have is one entry in each list.
 """
@@ -61,15 +61,22 @@ def shared_values(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndar
             both = np.sort((key << np.uint64(32)) | rest)
             key, rest = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             cuts = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
-            first = key[cuts[:-1]]
-            for lo in range(0, len(first), 8192):
-                part = first[lo : lo + 8192]
-                raw = [packed(rest[a:b]) for a, b in zip(cuts[lo : lo + len(part)], cuts[lo + 1 : lo + len(part) + 1], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array((part // blocks).astype(np.int32)), pa.array((part % blocks).astype(np.int32)), pa.array(raw, pa.binary())], ["range", "block", "raw"])
+            first, sizes = key[cuts[:-1]], np.diff(cuts)
+            raw = [packed(rest[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            ends = np.append(np.flatnonzero(np.diff(first // blocks, prepend=-1)), len(first))
+            own = [((first[a:b] % blocks).astype("<i4").tobytes(), sizes[a:b].astype("<i4").tobytes(), b"".join(raw[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            for lo in range(0, len(own), 1024):
+                part = own[lo : lo + 1024]
+                yield pa.RecordBatch.from_arrays([pa.array((first[ends[lo : lo + len(part)]] // blocks).astype(np.int32)), *(pa.array([x[i] for x in part], pa.binary()) for i in range(3))], ["range", "blocks", "sizes", "raw"])
 
     def answered(table: pa.Table) -> pa.Table:
-        lists = [unpacked(x) for x in table.column("raw").to_pylist()]
-        own = np.repeat(table.column("block").to_numpy(), [len(x) for x in lists])
+        lists, own = [], []
+        for which, sizes, raw in zip(*(table.column(c).to_pylist() for c in ("blocks", "sizes", "raw")), strict=True):
+            sizes = np.frombuffer(sizes, "<i4")
+            ends = 4 * np.cumsum(sizes)
+            lists += [unpacked(raw[b - 4 * n : b]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+            own.append(np.repeat(np.frombuffer(which, "<i4"), sizes))
+        own = np.concatenate(own)
         found = np.concatenate(lists)
         order = np.argsort(found, kind="stable")
         found, own = found[order], own[order]
@@ -90,7 +97,7 @@ def shared_values(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndar
         wanted = (which.astype(np.uint64) << np.uint64(32)) | rest
         return known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
 
-    answers = staged(rows.mapInArrow(sent, "range int, block int, raw binary").groupBy("range").applyInArrow(answered, "block int, range int, raw binary"), "shared")
+    answers = staged(rows.mapInArrow(sent, "range int, blocks binary, sizes binary, raw binary").groupBy("range").applyInArrow(answered, "block int, range int, raw binary"), "shared")
     release(docs.sparkSession)
     return rows, answers, shared
 
