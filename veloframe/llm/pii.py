@@ -6,7 +6,7 @@ nodes are the stretches of a text that hold digits or '@'; labels are the four k
 share a skip potential, so one sure mention carries over to its repetitions in odd formats. Base spans hold
 their nodes' labels; damped loopy sum-product messages give the others' marginals, and what a kind holds with at least
 ``SURE`` is added. Weights come from pseudo-likelihood on a bounded sample of documents, labelled by the patterns
-(``fit_docs`` documents, those with the least hash of doc_id among documents with a digit or '@').
+(about ``fit_docs`` documents with a digit or '@', picked by hash).
 
 Cases: null counts as empty; offsets are code points; a text without digits and '@' costs one look at its bytes; documents
 with no example to fit on get the base spans alone; repeated rows are judged one by one; input columns named like the results are replaced.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import byte_column, extended, steps
+from veloframe.llm.common import bounded_sample, byte_column, extended, steps
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -218,7 +218,7 @@ def hinted(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def learned(docs: DataFrame, fit_docs: int = 2000) -> Weights | None:
-    sample = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(fit_docs).collect()
+    sample = bounded_sample(docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]")), ["doc_id", "text"], fit_docs)
     return fit([nodes(r.text, base_spans(r.text)) for r in sample])
 
 
