@@ -17,9 +17,9 @@ def act(id_, type_="Ride", start="2024-02-20 08:00:00", elapsed=3600, moving=350
 @pytest.fixture(scope="module")
 def acts(spark):
     rows = [act(1), act(2, start="2024-02-20 08:10:00", elapsed=1000), act(3, "Swim", "2024-02-21 07:00:00", 1800, 1750, 1500.0, None), act(4, "Swim", "2024-02-22 07:00:00", 1800, 1200, 1500.0, None),
-            act(5, "Yoga", "2024-01-10 07:00:00", 1800, 1800, 0.0, None), act(6, "VirtualRide", "2024-01-20 07:00:00", 12_000, 11_000, 90_000.0, "g9999999", description="riduck NP 210 IF 0.84 TSS 80 CTL 50 TSB -3")]
+            act(5, "Yoga", "2024-01-10 07:00:00", 1800, 1800, 0.0, None), act(6, "VirtualRide", "2024-01-20 07:00:00", 12_000, 11_000, 90_000.0, "g9999999", description="Coach notes NP 210 IF 0.84 TSS 80 CTL 50 TSB -3")]
     df = spark.createDataFrame(rows, ACT).withColumn("start_ts_utc", F.to_timestamp("start"))
-    return silver.activities(df, {"g1": "kiki one"}, CONFIG).cache()
+    return silver.activities(df, {"g1": "road one"}, CONFIG).cache()
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_silver(acts, points):
     got = {r.activity_id: r for r in acts.collect()}
     assert got[2].is_duplicate and got[2].duplicate_of_activity_id == 1 and not got[1].is_duplicate and not got[5].is_duplicate
     assert [got[i].sport for i in (1, 3, 5, 6)] == ["cycling", "swimming", "other", "cycling"]
-    assert [got[i].gear_label for i in (1, 3, 6)] == ["kiki one", "unassigned", "other(g99999…)"] and got[6].is_indoor
+    assert [got[i].gear_label for i in (1, 3, 6)] == ["road one", "unassigned", "other(g99999…)"] and got[6].is_indoor
     assert {(r.activity_id, r.source) for r in points.select("activity_id", "source").distinct().collect()} == {(1, "stream"), (6, "stream"), (3, "gpx")}
     assert points.filter("source = 'gpx'").first().time_offset_s == 5
 
@@ -83,7 +83,7 @@ def test_totals(acts):
     assert periods["month", "2024-02", "swimming"] == 2 and periods["all", "all", "cycling"] == 2 and periods["year", "2024", "other"] == 1
     assert {(r.year, r.sport): r.indoor for r in gold.mart_yearly_summary(clean).collect()}[2024, "cycling"] == 1
     gear = {(r.sport, r.gear_label): r.indoor_pct for r in gold.mart_gear_usage(clean).collect()}
-    assert gear["cycling", "kiki one"] == 0.0 and gear["cycling", "other(g99999…)"] == 100.0
+    assert gear["cycling", "road one"] == 0.0 and gear["cycling", "other(g99999…)"] == 100.0
     pace = gold.mart_swim_pace_monthly(clean).first()
     assert (pace.swims, pace.paced_swims, pace.pace_s_per_100m, pace.pace_label) == (2, 1, 80.0, "1:20")
     status = gold.mart_training_status(clean, CONFIG)
@@ -95,24 +95,24 @@ def test_totals(acts):
 
 def test_text_fields_and_symptoms(spark, acts, points, ftp):
     clean = gold.stg_activities(acts, CONFIG)
-    duck = gold.stg_riduck(clean)
-    r = gold.mart_riduck_metrics(duck).first()
+    said = gold.stg_service_notes(clean)
+    r = gold.mart_service_metrics(said).first()
     assert (r.np_watts, r.tss, r.tsb, r.implied_ftp, r.kj) == (210.0, 80.0, -3.0, 250.0, None)
     log = spark.createDataFrame([("2024-02-20", "cycling", None, "knee", 3, 1), ("2024-02-20", "cycling", None, "knee", 3, 1), ("2024-02-21", "running", None, "back", 1, None), ("2024-01-20", "cycling", 6, "back", 5, None), ("2024-02-21", "swimming", None, "None", 1, None)],
                                 "d string, sport string, activity_id long, area string, severity int, next_day int").withColumn("symptom_date", F.to_date("d")).drop("d").withColumns({c: F.lit("") for c in ("side", "onset", "memo")})
     symptoms = gold.stg_symptoms(log, clean)
     assert sorted((r.link_method, r.activity_id or 0) for r in symptoms.collect()) == [("date_sport", 1), ("date_sport", 3), ("explicit", 6), ("unmatched", 0)]
     assert quality.unlinked(symptoms).count() == 1 and quality.no_literal_none(log, ["area"]).count() == 1
-    changes = gold.stg_fitting_changes(spark.createDataFrame([("2024-02-01", "kiki", "saddle", "L", "1", "2", "applied"), ("2024-02-10", "shoes", "cleat", "", "1", None, "applied"), ("2024-02-15", "kiki", "bar", "", "", "", "planned")],
+    changes = gold.stg_fitting_changes(spark.createDataFrame([("2024-02-01", "road", "saddle", "L", "1", "2", "applied"), ("2024-02-10", "shoes", "cleat", "", "1", None, "applied"), ("2024-02-15", "road", "bar", "", "", "", "planned")],
                                                              "d string, target string, item string, side string, before string, after string, status string").withColumn("effective_date", F.to_date("d")))
     assert sorted(r.change_label for r in changes.collect()) == ["cleat", "saddle(L) 2"]
-    bike = F.when(F.col("gear_label").like("kiki%"), "kiki").otherwise("other")
+    bike = F.when(F.col("gear_label").like("road%"), "road").otherwise("other")
     rides = gold.mart_symptom_ride(clean, symptoms, changes, gold.mart_ride_power(points, clean, ftp, CONFIG), gold.int_ride_load(points, ftp, CONFIG), bike)
     got = {r.activity_id: r for r in rides.collect()}
     assert got[1].knee_severity == 3 and got[1].back_severity is None and str(got[1].setup_since) == "2024-02-10" and got[6].setup_since is None
     epochs = {(r.bike, str(r.setup_since)): (r.changes, r.rides, r.recorded) for r in gold.mart_fitting_epochs(rides, changes).collect()}
-    assert epochs == {("kiki", "2024-02-10"): ("cleat", 1, 1), ("other", "None"): ("baseline", 1, 1)}
-    feed = gold.mart_activity_feed(clean, gold.mart_ride_power(points, clean, ftp, CONFIG), duck, symptoms)
+    assert epochs == {("road", "2024-02-10"): ("cleat", 1, 1), ("other", "None"): ("baseline", 1, 1)}
+    feed = gold.mart_activity_feed(clean, gold.mart_ride_power(points, clean, ftp, CONFIG), said, symptoms)
     assert feed.count() == clean.count() and feed.filter("activity_id = 1").first().symptoms == 1
     bundle = {r.activity_id: r.bundle for r in coach.bundles(feed, feed, "2024-02-22").collect()}
     assert set(bundle) == {4} and "a1" in bundle[4] and "a6" not in bundle[4] and "lat" not in bundle[4]

@@ -76,18 +76,18 @@ def stg_symptoms(log: DataFrame, activities: DataFrame) -> DataFrame:
 
 
 #: What the service writes into descriptions, by field: pattern and type.
-RIDUCK_FIELDS = {
+SERVICE_FIELDS = {
     "training_type": (r"#(\S+)", "string"), "np_watts": (r"NP[ :]*([0-9.]+)", "double"), "if_value": (r"IF[ :]*([0-9.]+)", "double"), "tss": (r"TSS[ :]*([0-9.]+)", "double"),
     "peak_5s": (r"5s[ :]*([0-9.]+)", "double"), "peak_1m": (r"\b1m[ :]*([0-9.]+)", "double"), "peak_5m": (r"\b5m[ :]*([0-9.]+)", "double"), "peak_20m": (r"20m[ :]*([0-9.]+)", "double"),
     "ctl": (r"CTL[ :]*([0-9.]+)", "double"), "atl": (r"ATL[ :]*([0-9.]+)", "double"), "tsb": (r"TSB[ :]*(-?[0-9.]+)", "double"), "kj": (r"([0-9.]+) ?kJ", "double"),
 }
 
 
-def stg_riduck(activities: DataFrame, mark: str = "riduck") -> DataFrame:
+def stg_service_notes(activities: DataFrame, mark: str = "coach notes") -> DataFrame:
     """Numbers that a service wrote into descriptions, and the threshold power that they imply."""
     text = F.col("description")
     out = activities.filter(F.lower(text).like(f"%{mark}%"))
-    for name, (pattern, kind) in RIDUCK_FIELDS.items():
+    for name, (pattern, kind) in SERVICE_FIELDS.items():
         out = out.withColumn(name, F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast(kind))
     return out.withColumn("implied_ftp", per(F.col("np_watts"), F.col("if_value")))
 
@@ -176,10 +176,10 @@ def mart_ftp_estimate(curve: DataFrame, ftp: DataFrame) -> DataFrame:
     return out.withColumns({"by_20min_diff": F.col("by_20min") - F.col("ftp"), "cp_diff": F.col("cp") - F.col("ftp")})
 
 
-def mart_activity_feed(activities: DataFrame, power: DataFrame, riduck: DataFrame, symptoms: DataFrame) -> DataFrame:
+def mart_activity_feed(activities: DataFrame, power: DataFrame, notes: DataFrame, symptoms: DataFrame) -> DataFrame:
     """A row an activity with what each source knows of it."""
     felt = symptoms.filter("activity_id is not null").groupBy("activity_id").agg(F.count(F.lit(1)).alias("symptoms"), F.max("severity").alias("worst"))
-    out = activities.join(power.select("activity_id", "np", "intensity", "tss"), "activity_id", "left").join(riduck.select("activity_id", "training_type", "implied_ftp"), "activity_id", "left").join(felt, "activity_id", "left")
+    out = activities.join(power.select("activity_id", "np", "intensity", "tss"), "activity_id", "left").join(notes.select("activity_id", "training_type", "implied_ftp"), "activity_id", "left").join(felt, "activity_id", "left")
     return out.withColumns({
         "moving_min": F.round(F.col("moving_time") / 60, 1), "pace_s_per_km": F.when(F.col("sport") == "running", per(F.col("moving_time"), F.col("distance")) * 1000),
         "pace_s_per_100m": F.when(F.col("sport") == "swimming", per(F.col("moving_time"), F.col("distance")) * 100), "speed_kmh": F.when(F.col("sport") == "cycling", F.col("average_kmh")),
@@ -215,8 +215,8 @@ def mart_period_summary(activities: DataFrame) -> DataFrame:
     return out.withColumns({c: F.round(c, 1) for c in ("distance_km", "moving_h", "elev_m")})
 
 
-def mart_riduck_metrics(riduck: DataFrame) -> DataFrame:
-    return riduck.select("activity_id", "activity_date", *RIDUCK_FIELDS, F.round("implied_ftp").alias("implied_ftp"))
+def mart_service_metrics(notes: DataFrame) -> DataFrame:
+    return notes.select("activity_id", "activity_date", *SERVICE_FIELDS, F.round("implied_ftp").alias("implied_ftp"))
 
 
 def weighted_pace(df: DataFrame, keys: Sequence[str], seconds: str, metres: str, sound: Column) -> DataFrame:
