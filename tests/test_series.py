@@ -33,6 +33,21 @@ def test_incomplete_windows_do_not_count(spark):
     assert got == {4: 107.0}  # both ends are in: five samples
 
 
+def test_best_means_by_second_are_those_of_the_range_frames(spark):
+    import random
+
+    rng = random.Random(3)
+    rows, t = [], 0
+    for _ in range(400):
+        t += rng.choice([1, 1, 1, 1, 2, 5, 40, 200])
+        rows += [(rng.randint(1, 2), t, rng.choice([None, 0, 100, 250]))] * rng.choice([1, 1, 1, 2])
+    df = spark.createDataFrame(rows, "k int, s int, v int").withColumn("t", F.timestamp_seconds("s"))
+    windows = [(3, 3), (10, 6), (60, 12)]
+    want = {(r.k, r.seconds): round(r.best, 9) for r in series.best_means(df.filter("v is not null"), "k", "t", "v", windows).collect()}
+    got = {(r.k, r.seconds): round(r.best, 9) for r in series.best_means_by_second(df, "k", "t", "v", windows).collect()}
+    assert got == want and len(got) >= 4
+
+
 def test_as_of_takes_the_latest_at_or_before(spark):
     left = spark.createDataFrame([("a", 5), ("a", 1), ("b", 9)], "k string, t int")
     right = spark.createDataFrame([("a", 3, "x"), ("a", 5, "y"), ("c", 1, "z")], "k string, t int, v string")

@@ -30,7 +30,32 @@ def normalised_power(df: DataFrame, key: str, ts: str, value: str, seconds: int
 def best_means(df: DataFrame, key: str, ts: str, value: str, windows: Sequence[tuple[int, int]]) -> DataFrame:
     """For each key and window (seconds, least samples): the best trailing mean among complete windows; NULL windows don't appear."""
     means = [F.when(trailing(f"count({value})", key, ts, s) >= n, trailing(f"avg({value})", key, ts, s)).alias(f"w{s}") for s, n in windows]
-    best = df.select(key, *means).groupBy(key).agg(*[F.max(f"w{s}").alias(f"w{s}") for s, _ in windows])
+    return _best(df.select(key, *means), key, windows)
+
+
+def best_means_by_second(df: DataFrame, key: str, ts: str, value: str, windows: Sequence[tuple[int, int]]) -> DataFrame:
+    """``best_means`` for samples at whole seconds, in time that does not depend on the windows' lengths.
+
+    A range frame is summed anew for every row. Here the seconds between samples become empty rows, and a window is the difference of two running
+    sums, ``seconds`` + 1 rows apart. Gaps longer than the longest window stay gaps: what is behind them is a part of its own.
+    """
+    longest = max(s for s, _ in windows)
+    by = Window.partitionBy(key).orderBy("t")
+    each = df.filter(F.col(value).isNotNull()).groupBy(key, F.unix_seconds(ts).alias("t")).agg(F.sum(F.col(value).cast("double")).alias("v"), F.count(F.lit(1)).alias("n"))
+    each = each.withColumns({"_next": F.lead("t").over(by), "_before": F.lag("t").over(by)})
+    each = each.withColumn("_part", F.sum(F.when(F.col("t") - F.col("_before") > longest, 1).otherwise(0)).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    last = F.when(F.col("_next") - F.col("t") <= longest, F.col("_next") - 1).otherwise(F.col("t"))
+    dense = each.withColumn("s", F.explode(F.sequence("t", last))).withColumn("_own", F.col("s") == F.col("t"))
+    part = Window.partitionBy(key, "_part").orderBy("s")
+    run = part.rowsBetween(Window.unboundedPreceding, 0)
+    sums = dense.select(key, "_part", "s", "_own", F.sum(F.when(F.col("_own"), F.col("v")).otherwise(0.0)).over(run).alias("v"), F.sum(F.when(F.col("_own"), F.col("n")).otherwise(0)).over(run).alias("n"))
+    behind = lambda c, s: F.col(c) - F.lag(c, s + 1, 0).over(part)
+    means = [F.when(F.col("_own") & (behind("n", s) >= n), behind("v", s) / behind("n", s)).alias(f"w{s}") for s, n in windows]
+    return _best(sums.select(key, *means), key, windows)
+
+
+def _best(means: DataFrame, key: str, windows: Sequence[tuple[int, int]]) -> DataFrame:
+    best = means.groupBy(key).agg(*[F.max(f"w{s}").alias(f"w{s}") for s, _ in windows])
     pairs = ", ".join(f"{s}, w{s}" for s, _ in windows)
     return best.selectExpr(key, f"stack({len(windows)}, {pairs}) as (seconds, best)").filter("best is not null")
 

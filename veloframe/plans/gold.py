@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from veloframe.config import Config
 from veloframe.functions import blank_to_null, minutes_seconds, per
-from veloframe.operators.series import best_means, l4_mean, period_totals, top_one, trailing, zones
+from veloframe.operators.series import best_means_by_second, l4_mean, period_totals, top_one, trailing, zones
 
 # Staging
 
@@ -100,7 +100,7 @@ def int_power_curve_ride(power: DataFrame, activities: DataFrame, done: DataFram
     if done is not None:
         power = power.join(done.select("activity_id").distinct(), "activity_id", "left_anti")
     windows = [(s, math.ceil(s * config.window_share)) for s in config.durations]
-    best = best_means(power, "activity_id", "point_ts", "watts", windows).withColumnsRenamed({"seconds": "duration_s", "best": "best_watts"})
+    best = best_means_by_second(power, "activity_id", "point_ts", "watts", windows).withColumnsRenamed({"seconds": "duration_s", "best": "best_watts"})
     return best.join(activities.select("activity_id", "activity_date"), "activity_id")
 
 
