@@ -199,7 +199,10 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> Data
 
 
 def drop_similar(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each component, that of the least doc_id; its own columns."""
+    """``docs`` with one document of each component, that of the least doc_id; its own columns.
+
+    Rows that share that doc_id count as one document and all stay; so does a row without a doc_id, which nothing can name.
+    """
     others = similar_documents(docs, size, percent).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
