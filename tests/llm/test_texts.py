@@ -259,6 +259,24 @@ def test_kneser_ney_sums_to_one():
     assert p[seen.astype(int) - 1].sum() + 1000 * p[np.uint64(9999) - 1] == pytest.approx(1, abs=1e-9)
 
 
+def test_language_models_in_parts_keep_all_counts(spark):
+    """A language of few documents beside a large one, and more 4-grams than one part takes."""
+    rng = random.Random(8)
+    texts = [("aa", "".join(rng.choice("abcdefg ") for _ in range(400))) for _ in range(60)] + [("zz", "".join(rng.choice("vwxyz ") for _ in range(60))) for _ in range(2)]
+    docs = spark.createDataFrame([(i, x, lang) for i, (lang, x) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = languages.learned(docs, max_grams=200)
+    asked = [x for _, x in texts] + ["vwx abc 中文", "zzzz", ""]
+    packed, counts = languages.grams(asked)
+    row = np.repeat(np.arange(len(asked)), counts)
+    for i, lang in enumerate(["aa", "zz"]):
+        keys, n = np.unique(languages.grams([x for own, x in texts if own == lang])[0], return_counts=True)
+        assert len(keys) > 40
+        want = np.bincount(row, -np.log(languages.Model(keys, n).probability(packed)), len(asked)) / np.maximum(counts, 1)
+        assert model.entropies(asked)[0][:, i] == pytest.approx(want, abs=1e-9)
+    one = {r.doc_id: (r.lang_pred, r.score) for r in languages.identify(docs, languages.learned(docs)).collect()}
+    assert {r.doc_id: (r.lang_pred, pytest.approx(r.score, abs=1e-9)) for r in languages.identify(docs, model).collect()} == one
+
+
 def test_held_out_column(spark):
     import zlib
 
