@@ -217,6 +217,31 @@ def test_similar(repeated, empty):
     assert jaccard.similar_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [None, 4])
+def test_all_links_are_found(spark, repeated, monkeypatch, block):
+    """Every class asks: links between two neighbours of a hub count too, whatever the blocks."""
+    if block:
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "SMALL", block)
+    rows = [(r.doc_id, lower(r.text).split()) for r in repeated.collect()]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set() for _, w in rows]
+    similar = lambda a, b: bool(a & b) and 100 * len(a & b) >= 75 * len(a | b)
+    want = Counter((d, sum(similar(a, b) for j, b in enumerate(sets) if j != i)) for i, ((d, _), a) in enumerate(zip(rows, sets, strict=True)))
+    assert max(n for _, n in want) > 10
+    assert table(jaccard.similar_documents(repeated), "doc_id", "n_links") == want
+
+
+def test_cluster_of_two_asks_the_lists():
+    import pyarrow as pa
+
+    sets = [list(range(20)), list(range(1, 21)), list(range(2, 22))]
+    got = jaccard._links_in_block(pa.table({"class": [5, 6, 7], "n": [20, 20, 20], "rows": [1, 2, 4], "side": [0, 0, 0], "p": [0, 0, 0], "q": [0, 0, 0], "h": sets}), 75)
+    lone = {"class": [5, 6], "n": [20, 20], "rows": [1, 2], "side": [0, 0], "p": [0, 0], "q": [1, 1], "h": sets[:2]}
+    assert jaccard._links_in_block(pa.table(lone), 75).num_rows == 0  # the other block is empty
+    assert {(r["a"], r["n"]) for r in got.to_pylist() if r["b"] is None} == {(5, 6), (6, 5), (7, 3)}
+    assert len([r for r in got.to_pylist() if r["b"] is not None]) == 2
+
+
 def test_divide_skip():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 10**6, 60)

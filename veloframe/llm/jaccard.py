@@ -10,12 +10,12 @@ hashes. Documents of equal sets are one class. The work is exact at every step:
 2. The same again, exactly, between the classes that are left, with frequencies. A class's rarest shared shingles, as many as leave less than the
    least overlap, are its prefix; classes that link share a prefix shingle. Buckets are chained to their least member,
    never paired, and components of these chains are clusters outside of which no link can be.
-3. In each cluster the class whose shingles are the most frequent is the hub, and all others are held against it. Those
-   that do not link with it are queries; blocks of queries meet blocks of all the cluster's members. A block
+3. All classes are queries against all classes of their cluster. Small clusters share a block (no link leads from one to another); large ones are
+   dealt into blocks, and each pair of blocks meets once. A block
    indexes its members in inverted lists and finds those that occur in at least T lists of the query's shingles by DivideSkip: the
    short lists are merged and counted, and the long ones, fewer than T, are probed by binary search for what came out.
-   (The merge is one sort of the lists, which counts like a heap.) Sizes decide the exact overlap that is required. A block gives a spanning forest
-   of its links, and components of forests and hub links are the result.
+   (The merge is one sort of the lists, which counts like a heap.) Sizes decide the exact overlap that is required. Every link is
+   counted for both its classes by the rows that the other stands for; a spanning forest of a block's links is what components are found from.
 
 Cases: null or empty texts have empty sets and link with nothing; fewer words than ``size`` are one shingle; repeated rows and
 equal doc_ids are documents of their own (they meet in one class if their sets agree); an empty table gives no rows.
@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veloframe.llm.common import SPACED, mixed, release, staged, word_steps
-from veloframe.llm.components import Forest, connected
+from veloframe.llm.components import connected
 from veloframe.llm.exchange import answered_values, shared_values
 
-#: Members and queries that one search task holds.
-BLOCK = 1024
+#: Classes in a block of a large cluster, and of small clusters that share a block.
+BLOCK, SMALL = 1024, 128
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -153,49 +153,60 @@ class Lists:
 
 
 def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
-    """A spanning forest of the links between a block's queries and its members."""
-    query = table.column("query").to_numpy(zero_copy_only=False)
-    classes, sizes = table.column("class").to_numpy(), table.column("n").to_numpy()
+    """Links between two blocks or within one: rows that each class links with (a, null, n), and a spanning forest of the links (a, b, 0)."""
+    classes, sizes, rows, side = (table.column(c).to_numpy() for c in ("class", "n", "rows", "side"))
     sets = [np.sort(np.array(x, np.int64)) for x in table.column("h").to_pylist()]
-    members, queries = np.flatnonzero(~query), np.flatnonzero(query)
+    p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+    queries, members, within = np.flatnonzero(side == p), np.flatnonzero(side == q), p == q
+    if not len(members):
+        queries = members
     lists = Lists([sets[i] for i in members], sizes[members], percent)
-    names, place = np.unique(classes, return_inverse=True)
-    forest, out = Forest(len(names)), []
+    linked, tree, out = np.zeros(len(classes), np.int64), np.arange(len(classes)), []
     for q in queries.tolist():
-        for m in members[lists.search(sets[q], int(sizes[q]))].tolist():
-            if forest.join(int(place[q]), int(place[m])):
-                out.append((classes[q], classes[m]))
+        near = members[lists.search(sets[q], int(sizes[q]))]
+        near = near[near != q]
+        linked[q] += rows[near].sum()
+        if not within:
+            linked[near] += rows[q]
+        apart = near[tree[near] != tree[q]]
+        _, first = np.unique(tree[apart], return_index=True)
+        for m in apart[first].tolist():
+            tree[tree == tree[m]] = tree[q]
+            out.append((classes[q], classes[m]))
+    some = np.flatnonzero(linked)
     a, b = (np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-    return pa.table({"a": a, "b": b})
+    b = pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(b)])
+    return pa.table({"a": np.concatenate([classes[some], a]), "b": b, "n": np.concatenate([linked[some], np.zeros(len(a), np.int64)])})
 
 
 def links(found: DataFrame, percent: int) -> DataFrame:
-    """Step 3: a forest of the links between classes (a, b) of ``clusters``."""
-    hubs = found.groupBy("cluster").agg(F.max_by(F.struct(F.col("class").alias("a"), F.col("n").alias("hub_n"), F.col("h").alias("hub_h")), F.struct("weight", "class")).alias("hub"), F.count(F.lit(1)).alias("m"))
-    common = F.size(F.array_intersect("h", "hub.hub_h"))
-    against = found.join(hubs, "cluster").withColumn("linked", 100 * common >= percent * (F.col("n") + F.col("hub.hub_n") - common))
-    against = staged(against.select("cluster", "class", "n", "h", "m", F.col("hub.a").alias("hub"), "linked"), "hubs")
-    rest = against.filter(~F.col("linked"))
-    sizes = rest.groupBy("cluster").agg(F.count(F.lit(1)).alias("r"))
-    of = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("class"), of(n)).cast("int")
-    queries = rest.join(sizes, "cluster").select("cluster", own("r").alias("q"), F.explode(F.sequence(F.lit(0), of("m") - 1)).alias("b"), "class", "n", "h", F.lit(True).alias("query"))
-    members = against.join(sizes, "cluster").select("cluster", F.explode(F.sequence(F.lit(0), of("r") - 1)).alias("q"), own("m").alias("b"), "class", "n", "h", F.lit(False).alias("query"))
-    near = queries.union(members).groupBy("cluster", "q", "b").applyInArrow(lambda t: _links_in_block(t, percent), "a long, b long")
-    return against.filter("linked").select(F.col("class").alias("a"), F.col("hub").alias("b")).union(near)
+    """Step 3, from ``clusters`` with the rows of each class: as blocks give them, counts (a, null, n) and forests (a, b, 0)."""
+    of = F.ceil(F.col("m") / BLOCK).cast("int")
+    shared = max(1, found.count() // SMALL)
+    alone = F.col("m") > SMALL
+    sized = found.join(found.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")), "cluster")
+    sized = sized.withColumn("unit", F.when(alone, F.col("cluster")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(shared))))
+    own = F.when(alone, F.pmod(F.xxhash64("class"), of)).otherwise(0).cast("int")
+    dealt = sized.select(alone.alias("alone"), "unit", own.alias("side"), F.explode(F.sequence(F.lit(0), F.when(alone, of - 1).otherwise(0))).alias("other"), "class", "n", "h", "rows")
+    dealt = dealt.withColumn("p", F.least("side", "other")).withColumn("q", F.greatest("side", "other"))
+    return staged(dealt.groupBy("alone", "unit", "p", "q").applyInArrow(lambda t: _links_in_block(t, percent), "a long, b long, n long"), "links")
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, class and component_id (least doc_id that links lead to) of each row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, class, component_id (least doc_id that links lead to) and n_links (other rows that it links with) of each row of ``docs`` (doc_id, text)."""
     sets = shared_shingles(docs, size, percent)
-    classes = sets.filter(F.col("shared").isNotNull()).groupBy("class").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
-    found = connected(links(clusters(staged(classes, "candidates"), percent), percent)).select(F.col("node").alias("class"), "root")
+    classes = staged(sets.filter(F.col("shared").isNotNull()).groupBy("class").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.count(F.lit(1)).alias("rows")), "candidates")
+    near = links(clusters(classes, percent).join(classes.select("class", "rows"), "class"), percent)
+    found = connected(near.filter("b is not null").select("a", "b")).select(F.col("node").alias("class"), "root")
+    linked = near.filter("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
     own = sets.select("doc_id", F.col("n").alias("n_shingles"), "class")
     filled = own.filter("n_shingles > 0")
-    least = filled.groupBy("class").agg(F.min("doc_id").alias("least")).join(found, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    least = filled.groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).join(found, "class", "left").withColumn("root", F.coalesce("root", "class"))
     roots = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(roots, "root").select("class", "component_id")
-    return filled.join(named, "class").select("doc_id", "n_shingles", "class", "component_id").union(own.filter("n_shingles = 0").select("doc_id", "n_shingles", "class", F.col("doc_id").alias("component_id")))
+    links_of = (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    named = least.join(roots, "root").join(linked, "class", "left").select("class", "component_id", links_of)
+    alone = own.filter("n_shingles = 0").select("doc_id", "n_shingles", "class", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return filled.join(named, "class").select("doc_id", "n_shingles", "class", "component_id", "n_links").union(alone)
 
 
 def drop_similar(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -209,4 +220,4 @@ def drop_similar(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
