@@ -182,6 +182,17 @@ def test_expressions():
     assert licences.postfix("(mit or") is None and licences.postfix("and mit") is None and value("nothing-known") is None
 
 
+def test_long_expressions(spark):
+    long = "(" + " AND ".join(f"LicenseRef-vendored-component-{i}" for i in range(40)) + " AND GPL-2.0-only) OR Proprietary"
+    assert len(long) > 1000
+    tag = "SPDX-License-Identifier: "
+    docs = spark.createDataFrame([(1, f"/* {tag}{long}\nISC"), (2, f"{tag}MIT */ {'x ' * 300}{tag}GPL-3.0 {tag}"), (3, f"{tag}MIT {tag}BSD"), (4, f"{tag}(MIT OR {'x OR ' * 200}AGPL-3.0")], "doc_id long, text string")
+    got = {r.doc_id: (r.expressions, r.labels, r.score) for r in licences.find_licences(docs).collect()}
+    assert got[1] == ([long.lower()], ["gpl-2.0-only", "proprietary"], 0.7)
+    assert got[2] == (["mit", "gpl-3.0"], ["gpl-3.0", "mit"], 0.7) and got[3] == (["mit", "bsd"], ["bsd", "mit"], 0.1)
+    assert got[4][1:] == (["agpl-3.0", "mit"], 0.0)
+
+
 def brute_similar(rows, percent=75):
     sets = []
     for _, text in rows:

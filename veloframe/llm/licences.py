@@ -4,6 +4,7 @@ Texts become their words (A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]
 finds all phrases in a single pass. Where the tag's phrase occurs, the expression behind the tag is read from the text, a shunting-yard
 parser puts it in postfix order (``with`` binds before ``and``, ``and`` before ``or``), and its value is how much it
 asks of a user: the least of alternatives, the most of joint terms. ``score`` is the highest value found.
+An expression reaches, at any length, to the first token that cannot follow, the next tag or the end of its line; a malformed one to the latter two.
 
 Cases: a null or empty text has no words, labels '' and score 0; a malformed expression gives the labels of its known
 identifiers and no value; repeated rows are judged one by one; input columns named like the results are replaced.
@@ -38,7 +39,8 @@ ASKS = {
     "cc-by": 0.2, "cc": 0.3, "mpl": 0.4, "epl": 0.4, "lgpl": 0.5, "cc-by-sa": 0.6, "gpl": 0.7, "agpl": 0.8,
     "cc-by-nd": 0.8, "cc-by-nc": 0.9, "reserved": 1.0, "proprietary": 1.0,
 }
-_TAGGED = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]{1,400})")
+_TAGGED = re.compile(r"spdx-license-identifier\s*:[ \t]*")
+_LINE = re.compile(r"[^\r\n]*")
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
 _RANK = {"or": 1, "and": 2, "with": 3}
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -50,9 +52,9 @@ def asks(label: str) -> float | None:
     return ASKS[max(known, key=len)] if known else None
 
 
-def postfix(expression: str) -> list[str] | None:
-    """Shunting yard; None if the expression is malformed. It ends before the first token that cannot follow."""
-    out, stack, operand = [], [], False
+def parsed(expression: str) -> tuple[list[str] | None, int]:
+    """Shunting yard, and where the expression ends: before the first token that cannot follow. A malformed one gives None and all its length."""
+    out, stack, operand, end = [], [], False, 0
     for m in _TOKEN.finditer(expression):
         t = m[0]
         if t == "(":
@@ -61,7 +63,7 @@ def postfix(expression: str) -> list[str] | None:
             stack.append(t)
         elif t == ")":
             if not operand:
-                return None
+                return None, len(expression)
             while stack and stack[-1] != "(":
                 out.append(stack.pop())
             if not stack:
@@ -69,7 +71,7 @@ def postfix(expression: str) -> list[str] | None:
             stack.pop()
         elif t in _RANK:
             if not operand:
-                return None
+                return None, len(expression)
             while stack and stack[-1] != "(" and _RANK[stack[-1]] >= _RANK[t]:
                 out.append(stack.pop())
             stack.append(t)
@@ -79,9 +81,23 @@ def postfix(expression: str) -> list[str] | None:
                 break
             out.append(t)
             operand = True
+        end = m.end()
     if not operand or "(" in stack:
-        return None
-    return out + stack[::-1]
+        return None, len(expression)
+    return out + stack[::-1], end
+
+
+def postfix(expression: str) -> list[str] | None:
+    """Postfix order; None if the expression is malformed."""
+    return parsed(expression)[0]
+
+
+def tagged_lines(text: str) -> list[str]:
+    """What stands behind each tag, to the next tag or the end of the line."""
+    tags = list(_TAGGED.finditer(text))
+    ends = [m.start() for m in tags[1:]] + [len(text)]
+    lines = [_LINE.match(text, m.end(), end)[0] for m, end in zip(tags, ends, strict=True)]
+    return [x for x in lines if x]
 
 
 def evaluated(order: list[str]) -> float | None:
@@ -138,14 +154,14 @@ def find_licences(docs: DataFrame) -> DataFrame:
             found = {m[1] for m in own}
             values = [v for v in map(asks, found) if v is not None]
             texts = []
-            for m in _TAGGED.finditer(raw.decode("utf-8", "replace").translate(_ASCII_LOWER)) if tagged else ():
-                texts.append(m[1].strip())
-                order = postfix(m[1])
+            for x in tagged_lines(raw.decode("utf-8", "replace").translate(_ASCII_LOWER)) if tagged else ():
+                order, stop = parsed(x)
+                texts.append(x[:stop].strip())
                 if order:
                     found |= {t for t in order if t not in _RANK and asks(t) is not None}
                     values += [v for v in [evaluated(order)] if v is not None]
                 else:
-                    found |= {t[0] for t in _TOKEN.finditer(m[1]) if asks(t[0]) is not None}
+                    found |= {t[0] for t in _TOKEN.finditer(x) if asks(t[0]) is not None}
             matches.append([dict(zip(names, m, strict=True)) for m in sorted(own, key=lambda m: (m[3], m[0]))])
             expressions.append(texts)
             labels.append(sorted(found))
