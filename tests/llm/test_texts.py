@@ -224,16 +224,60 @@ def test_similar(repeated, empty):
     assert table(jaccard.similar_documents(repeated), "doc_id", "n_shingles", "component_id") == want
     kept = jaccard.drop_similar(repeated)
     assert kept.columns == repeated.columns
-    assert {r.doc_id for r in kept.collect()} - {None} == {d for d, _, c in want if d is not None and d == c}
-    assert jaccard.similar_documents(empty).count() == 0
+    left = Counter(r.doc_id for r in kept.collect())
+    assert {d for d in left if d is not None} == {d for d, _, c in want if d is not None and d == c}
+    empties = {d for d, n, _ in want if not n}
+    assert all(n == 1 for d, n in left.items() if d not in empties) and all(left[d] == sum(n for (k, m, _), n in want.items() if k == d and not m) for d in empties)
+    assert jaccard.similar_documents(empty).count() == 0 and jaccard.drop_similar(empty).count() == 0
+
+
+def test_rows_go_one_by_one(spark):
+    """A doc_id that several rows have does not take a clean row with it, nor keep a copy."""
+    a, b = "a long way to the house by the river", "nothing that any other row has at all"
+    rows = [(3, a, "x"), (7, a, "y"), (7, b, "z"), (None, a, "n"), (3, a, "w"), (9, None, "e"), (9, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    got = Counter((r.doc_id, r.text) for r in jaccard.drop_similar(docs).collect())
+    assert got == {(3, a): 1, (7, b): 1, (9, None): 2}
+
+
+@pytest.mark.parametrize("size", [10**7, 10**9, 2**40])
+def test_any_size_finds_all(spark, repeated, monkeypatch, size):
+    """Many ranges and blocks, dealt in one step and in two."""
+    from veloframe.llm import exchange
+
+    monkeypatch.setattr(exchange, "text_bytes", lambda docs: size)
+    if size == 10**9:
+        monkeypatch.setattr(exchange, "FAN", 8)
+    rows = [(r.doc_id, r.text) for r in repeated.collect()]
+    found = jaccard.shared_shingles(repeated, 5, 75)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set() for _, t in rows for w in [lower(t).split()]]
+    every = Counter(x for s in sets for x in s)
+    want = Counter((d, len(s), sum(every[x] > 1 for x in s) if s and sum(every[x] > 1 for x in s) >= -(-75 * len(s) // 100) else None) for (d, _), s in zip(rows, sets, strict=True))
+    assert Counter((r.doc_id, r.n, None if r.shared is None else len(r.shared) // 8) for r in found.collect()) == want
+
+
+def test_packed_rows():
+    from veloframe.llm import exchange
+
+    rng = np.random.default_rng(3)
+    for top, n in ((2**32 - 1, 3000), (40, 3000), (2**20, 1), (3, 0)):
+        given = [rng.integers(0, top, n, dtype=np.uint32) for _ in range(3)]
+        given = [np.append(x, x[: n // 2]) for x in given]
+        counts = Counter(zip(*(x.tolist() for x in given), strict=True))
+        want = sorted(x for x, c in counts.items() for _ in range(min(c, 2)))
+        made = exchange.ordered(*given)
+        assert list(zip(*(x.tolist() for x in made), strict=True)) == want
+        rows = exchange.packed_rows(*made, 4)
+        assert rows.column("place").to_pylist() == sorted({x[0] >> 4 for x in want})
+        assert list(zip(*(x.tolist() for x in exchange.unpacked(rows.column("raw").to_pylist())), strict=True)) == want
 
 
 @pytest.mark.parametrize("block", [None, 4])
 def test_all_links_are_found(spark, repeated, monkeypatch, block):
     """Every class asks: links between two neighbours of a hub count too, whatever the blocks."""
     if block:
-        monkeypatch.setattr(jaccard, "BLOCK", block)
-        monkeypatch.setattr(jaccard, "SMALL", block)
+        for name in ("BLOCK", "SMALL"):
+            monkeypatch.setattr(jaccard, name, block)
     rows = [(r.doc_id, lower(r.text).split()) for r in repeated.collect()]
     sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set() for _, w in rows]
     similar = lambda a, b: bool(a & b) and 100 * len(a & b) >= 75 * len(a | b)
@@ -246,25 +290,34 @@ def test_cluster_of_two_asks_the_lists():
     import pyarrow as pa
 
     sets = [list(range(20)), list(range(1, 21)), list(range(2, 22))]
-    got = jaccard._links_in_block(pa.table({"class": [5, 6, 7], "n": [20, 20, 20], "rows": [1, 2, 4], "side": [0, 0, 0], "p": [0, 0, 0], "q": [0, 0, 0], "h": sets}), 75)
-    lone = {"class": [5, 6], "n": [20, 20], "rows": [1, 2], "side": [0, 0], "p": [0, 0], "q": [1, 1], "h": sets[:2]}
+    table = {"class": [5, 6, 7], "n": [20, 20, 20], "rows": [1, 2, 4], "half": [0, 0, 0], "p": [0, 0, 0], "q": [0, 0, 0], "across": [False] * 3, "h": sets}
+    got = jaccard._links_in_block(pa.table(table), 75)
+    lone = {**table, "q": [1, 1, 1]}
     assert jaccard._links_in_block(pa.table(lone), 75).num_rows == 0  # the other block is empty
     assert {(r["a"], r["n"]) for r in got.to_pylist() if r["b"] is None} == {(5, 6), (6, 5), (7, 3)}
     assert len([r for r in got.to_pylist() if r["b"] is not None]) == 2
+    halves = jaccard._links_in_block(pa.table({**table, "across": [True] * 3, "half": [0, 1, 1]}), 75)
+    assert {(r["a"], r["n"]) for r in halves.to_pylist() if r["b"] is None} == {(5, 6), (6, 1), (7, 1)}
 
 
-def test_divide_skip():
+@pytest.mark.parametrize("shared", [0.93, 0.5])
+def test_divide_skip(shared):
     rng = np.random.default_rng(6)
     base = rng.integers(0, 10**6, 60)
-    sets = [np.unique(np.concatenate([base[rng.random(60) < 0.93], rng.integers(0, 10**6, rng.integers(0, 8))])) for _ in range(80)]
+    sets = [np.unique(np.concatenate([base[rng.random(60) < shared], rng.integers(0, 10**6, rng.integers(0, 8))])) for _ in range(80)] + [np.unique(rng.integers(0, 10**6, k)) for k in range(1, 5)]
     sizes = np.array([len(s) for s in sets])
-    lists = jaccard.Lists(sets, sizes, 75)
+    lists = jaccard.Lists(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes, 75)
     n = 0
     for s in sets:
         want = [j for j, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 75 * len(np.union1d(s, t))]
         assert sorted(lists.search(s, len(s)).tolist()) == want
         n += len(want)
-    assert 80 < n < 6400
+    assert len(sets) <= n < len(sets) ** 2
+    for least in (1, 3, 20):
+        at = rng.permutation(len(lists.keys))[:40]
+        counts = Counter(m for i in at for m in lists.own[lists.begin[i] : lists.end[i]].tolist())
+        members, found = lists._merged(at, least)
+        assert dict(zip(members, found, strict=True)) == {m: c for m, c in counts.items() if c >= least}
 
 
 def test_languages(spark, empty):

@@ -9,7 +9,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
         path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
-    jvm.System.gc()
+    jvm.System.gc()  # Spark's cleaner only learns of shuffles that are done from the driver's collector
 
 
 def byte_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,20 +125,31 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool):
-        n = len(data)
+        self.data, self.offsets = data, offsets
+        parts: list[tuple[np.ndarray, ...]] = []
+        lo = 0
+        while lo < len(data):  # a step's worth of bytes at a time, to the end of a word
+            hi = min(len(data), lo + STEP_BYTES)
+            while hi < len(data) and table[data[hi]]:
+                gap = np.flatnonzero(~table[data[hi : hi + 4096]])
+                hi = min(len(data), hi + (int(gap[0]) if len(gap) else 4096))
+            parts.append(self._part(lo, hi, table, lower))
+            lo = hi
+        self.start, self.end, self.hash = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        self.first = np.searchsorted(self.start, offsets)
+
+    def _part(self, lo: int, hi: int, table: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data, n = self.data[lo:hi], hi - lo
         inside = table[data]
         before, after = np.zeros(n, bool), np.zeros(n, bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]
-        cuts = offsets[(offsets > 0) & (offsets < n)]
+        cuts = self.offsets[np.searchsorted(self.offsets, lo, "right") : np.searchsorted(self.offsets, hi)] - lo
         before[cuts], after[cuts - 1] = False, False
-        self.data, self.offsets = data, offsets
-        self.start = np.flatnonzero(inside & ~before)
-        self.end = np.flatnonzero(inside & ~after) + 1
-        self.first = np.searchsorted(self.start, offsets)
+        start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
         powers, inverses = _powers(n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((_LOWER if lower else _VALUES)[data] * powers[:n], out=sums[1:])
-        self.hash = mixed((sums[self.end] - sums[self.start]) * inverses[self.start])
+        return start + lo, end + lo, mixed((sums[end] - sums[start]) * inverses[start])
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -185,6 +196,28 @@ def extended(docs: DataFrame, columns: str, compute) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` as the ``needed`` columns and one struct of all others, so that no column an operator adds can meet one of theirs; and the way back."""
+    from pyspark.sql import functions as F
+
+    others = [c for c in docs.columns if c not in needed]
+    kept = [F.col(f"`{c}`") for c in needed if c in docs.columns]
+    own = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
+
+    def back(found: DataFrame) -> DataFrame:
+        return found.select(*[(F.col(f"`{c}`") if c in needed else F.col("own_columns")[c]).alias(c) for c in docs.columns])
+
+    return docs.select(*kept, own.alias("own_columns")), back
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` has not."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded_sample(df: DataFrame, keys: list[str], rows: int) -> list:
     """About ``rows`` rows of ``df`` (all, if it has no more), those of least hash of ``keys``; never over twice as many.
 

@@ -14,7 +14,7 @@ from veloframe.llm.common import release, staged
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """node, root (least node reachable) for every node of ``edges`` (a, b: long)."""
+    """node, root (least node reachable) for every node of ``edges`` (a, b: long), as a scratch table."""
     spark = edges.sparkSession
     both = staged(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "labels")
@@ -28,7 +28,9 @@ def connected(edges: DataFrame) -> DataFrame:
         labels = new
         if not changed:
             release(spark, both)
-            return labels.select("node", "root")
+            out = labels.select("node", "root")
+            out._scratch_path = labels._scratch_path
+            return out
 
 
 class Forest:

@@ -150,8 +150,8 @@ def _block(texts: pa.Array, doc_ids: np.ndarray, flags: list[bytes], window: int
 def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, spans (ranges of removed words, ascending, apart), kept_sha256 and, with ``texts``, kept (the kept words joined by a space) of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    rows, answers, shared = shared_values(docs.select("doc_id", "text"), lambda column: window_sets(column, window))
-    shards = power(float(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) / SHARD_BYTES)
+    exchange = shared_values(docs.select("doc_id", "text"), lambda column: window_sets(column, window))
+    rows, answers, places, shards = exchange.rows, exchange.answers, exchange.places, power(exchange.size / SHARD_BYTES)
 
     def kept_row(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
         words, out, at = raw.split(), [], 0
@@ -184,7 +184,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> Dat
         for ids, chunk in zip(left.column("doc_id").chunks, left.column("text").chunks, strict=True):
             for lo, hi, words in word_steps(chunk, SPACED, False):
                 full, valid = words.grams(window)
-                hit = shared(full, known) & valid
+                hit = places.shared(full, known) & valid
                 where = np.flatnonzero(hit)
                 text_of = np.searchsorted(words.first, where, "right") - 1
                 some = np.unique(text_of)
@@ -212,8 +212,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> Dat
         flat = {f: [x for part in out[f] for x in part] for f in fields}
         return pa.table({f: pa.array(flat[f], t) for f, t in zip(fields, types, strict=True)})
 
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string(), pa.string()]
-    first = staged(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judged, "kind int, block int, shard long, raw binary, flags binary, " + done), "windows", partition_by=("kind",))
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string(), pa.string()]
+    first = staged(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judged, "kind int, block long, shard long, raw binary, flags binary, " + done), "windows", partition_by=("kind",))
     release(spark, answers)
 
     def in_shard(table: pa.Table) -> pa.Table:
@@ -232,7 +232,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> Dat
         joined = np.split(np.concatenate(every), np.cumsum(counts)[:-1])
         return pa.table({"block": table.column("block"), "shard": table.column("shard"), "raw": pa.array([x.astype("<i8").tobytes() for x in joined], pa.binary())})
 
-    firsts = staged(first.filter("kind = 2").select("block", "shard", "raw").groupBy("shard").applyInArrow(in_shard, "block int, shard long, raw binary"), "firsts")
+    firsts = staged(first.filter("kind = 2").select("block", "shard", "raw").groupBy("shard").applyInArrow(in_shard, "block long, shard long, raw binary"), "firsts")
 
     def removed(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
