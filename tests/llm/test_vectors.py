@@ -5,7 +5,7 @@ import pytest
 
 from veloframe.llm.components import connected
 from veloframe.llm.hnsw import Graph
-from veloframe.llm.vectors import near_vectors
+from veloframe.llm.vectors import audited_links, near_vectors
 
 
 def test_graph_recall():
@@ -13,12 +13,35 @@ def test_graph_recall():
     x = rng.normal(size=(1500, 24))
     x[:300] = x[0] + 0.02 * rng.normal(size=(300, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    graph = Graph.loaded(Graph(x).dumped())
+    graph = Graph.loaded(Graph(x).dumped(), x)
     ids, _ = graph.search(x[::7].astype(np.float32), 32)
     truth = np.argsort(-(x[::7] @ x.T), axis=1)[:, 0]
     assert (ids[:, 0] == truth).mean() > 0.98 or (np.take_along_axis(x[::7] @ x.T, ids[:, :1], 1)[:, 0] > 0.999).mean() > 0.98
 
 
+def test_all_is_reached():
+    """Far groups that the heuristic parts are bridged, and a beam as wide as the graph finds every point."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(30, 8)), 60, axis=0) + 1e-3 * rng.normal(size=(1800, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = Graph(x)
+    assert (np.sort(graph.search(x[:3].astype(np.float32), 1800)[0], axis=1) == np.arange(1800)).all()
+
+
+def test_large_groups_in_large_shards():
+    """Beams start narrow, are widened for groups far larger than they are, and doubled until the audit passes."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 24))
+    x[:900] = x[0] + 0.03 * rng.normal(size=(900, 24))
+    x[900:3000] = np.repeat(x[900:1600], 3, axis=0) + 0.05 * rng.normal(size=(2100, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ask = np.concatenate([np.arange(0, 900, 30), np.arange(900, 6000, 20)])
+    found = audited_links(Graph(x), x, x[ask], ask, 0.95, 8, 64, 50, 0.99)
+    truth = [set(np.flatnonzero(row)) for row in (x[ask] @ x.T) >= 0.95]
+    assert all(set(f.tolist()) <= t for f, t in zip(found, truth, strict=True))
+    assert sum(len(f) - 1 for f in found) >= 0.99 * sum(len(t) - 1 for t in truth) > 20_000
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(7)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veloframe.llm.automaton import Automaton
-from veloframe.llm.common import PLAIN, Words, byte_column, extended, mixed, word_steps
+from veloframe.llm.common import PLAIN, Words, byte_column, extended, mixed, set_aside, word_steps
 
 SPAN = "struct<start:int,end:int,byte_start:int,byte_end:int>"
 _PAIR_BITS = 22
@@ -189,7 +189,8 @@ def _joined(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_span: int = 200, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without benchmark passages, with its own columns: the passages' words and what stands between them are cut from
     the text. A document goes whole if a passage has over ``max_span`` words or passages are over ``max_coverage`` of its words."""
-    found = find_benchmark(docs, benchmark, window)
+    own, back = set_aside(docs, "text")
+    found = find_benchmark(own, benchmark, window)
     hit = F.expr("aggregate(hit_spans, 0, (a, s) -> a + s.end - s.start)")
     keep = (F.size("hit_spans") == 0) | (F.expr("forall(hit_spans, s -> s.end - s.start <= {})".format(max_span)) & (hit <= max_coverage * F.col("n_words")))
     cut = F.expr(
@@ -197,7 +198,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_s
         " (a, s) -> named_struct('at', s.byte_end, 'out', concat(a.out, substring(cast(text as binary), a.at + 1, s.byte_start - a.at))),"
         " a -> concat(a.out, substring(cast(text as binary), a.at + 1, octet_length(text) - a.at))) as string)"
     )
-    return found.filter(keep).withColumn("text", F.when(F.size("hit_spans") > 0, cut).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(found.filter(keep).withColumn("text", F.when(F.size("hit_spans") > 0, cut).otherwise(F.col("text"))))
 
 
 def digests(found: DataFrame) -> DataFrame:

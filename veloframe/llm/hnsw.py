@@ -27,16 +27,43 @@ class Graph:
             size = min(batch, at)
             self._insert(order[at : at + size])
             at += size
+        self._connect()
+
+    def _reach(self, start: int, seen: np.ndarray) -> None:
+        """Mark what the lowest level leads to."""
+        seen[start], front = True, np.array([start])
+        while len(front):
+            front = np.unique(self.near[0][front])
+            front = front[front >= 0]
+            front = front[~seen[front]]
+            seen[front] = True
+
+    def _connect(self) -> None:
+        """One more place for each point on the lowest level, which bridges to points that nothing leads to: a beam as wide as the graph sees all of it."""
+        if not self.n:
+            return
+        self.near[0] = np.hstack([self.near[0], np.full((self.n, 1), -1, np.int32)])
+        seen, at = np.zeros(self.n, bool), 0
+        self._reach(self.entry, seen)
+        while at < self.n:
+            if seen[at]:
+                at += 1
+                continue
+            ids = self.search(self.x[at : at + 1], self.breadth)[0][0]
+            free = [i for i in ids[ids >= 0].tolist() if self.near[0][i, -1] < 0] or np.flatnonzero(seen & (self.near[0][:, -1] < 0))[:1].tolist()
+            self.near[0][free[0], -1] = at
+            self._reach(at, seen)
 
     def dumped(self) -> bytes:
+        """The graph without its points."""
         out = io.BytesIO()
-        np.savez(out, x=self.x, level=self.level, entry=self.entry, **{f"near{i}": a for i, a in enumerate(self.near)})
+        np.savez(out, level=self.level.astype(np.int8), entry=self.entry, **{f"near{i}": a for i, a in enumerate(self.near)})
         return out.getvalue()
 
     @classmethod
-    def loaded(cls, raw: bytes) -> Graph:
+    def loaded(cls, raw: bytes, vectors: np.ndarray) -> Graph:
         out, found = cls.__new__(cls), np.load(io.BytesIO(raw))
-        out.x, out.level, out.entry = found["x"], found["level"], int(found["entry"])
+        out.x, out.level, out.entry = np.ascontiguousarray(vectors, np.float32), found["level"], int(found["entry"])
         out.n = len(out.x)
         out.near = [found[f"near{i}"] for i in range(sum(k.startswith("near") for k in found.files))]
         return out
@@ -143,4 +170,4 @@ class Graph:
         start = np.full(len(q), self.entry)
         for level in range(len(self.near) - 1, 0, -1):
             start = self.beam(q, start, level, 1, 1)[0][:, 0]
-        return self.beam(q, start, 0, width)
+        return self.beam(q, start, 0, min(width, self.n), max(4, width // 8))

@@ -1,14 +1,17 @@
 """Operator 7: personal data by patterns and a skip-chain conditional random field.
 
 Base spans are found by patterns (e-mail, IP address, payment card with Luhn's check, phone number). The field adds to them. Its
-nodes are the stretches of a text that hold digits or '@'; labels are the four kinds and 'none'. Neighbours within
+nodes are the stretches of a text that hold digits or '@', and e-mail addresses with a bracketed "at"; labels are the four kinds and 'none'. Neighbours within
 ``CHAIN_GAP`` code points are chained, and distant nodes with the same digits, the same last seven digits or the same spelling
-share a skip potential, so one sure mention carries over to its repetitions in odd formats. Base spans hold
-their nodes' labels; damped loopy sum-product messages give the others' marginals, and what a kind holds with at least
+share a skip potential, so one sure mention carries over to its repetitions in odd formats. All mentions of a key are tied to one of
+them, a sure one if there is any, so evidence is one step away however often it is repeated. Base spans hold
+their nodes' labels; damped loopy sum-product messages, passed until they stop changing, give the others' marginals, and what a kind holds with at least
 ``SURE`` is added. Weights come from pseudo-likelihood on a bounded sample of documents, labelled by the patterns
-(about ``fit_docs`` documents with a digit or '@', picked by hash).
+(about ``fit_docs`` documents with a digit or '@', picked by hash). The patterns can't label what they miss, so each sampled document is
+read with its sure mentions written once more in odd formats (``odd``), which carry their labels, and nodes that share a key with a
+sure mention but are not one themselves are left out: they are what the field is to judge, not examples of 'none'.
 
-Cases: null counts as empty; offsets are code points; a text without digits and '@' costs one look at its bytes; documents
+Cases: null counts as empty; offsets are code points; a span that the field adds is its node's; a text without digits and '@' costs one look at its bytes; documents
 with no example to fit on get the base spans alone; repeated rows are judged one by one; input columns named like the results are replaced.
 """
 
@@ -22,17 +25,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import bounded_sample, byte_column, extended, steps
+from veloframe.llm.common import bounded_sample, byte_column, extended, set_aside, steps
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-CHAIN_GAP, SURE, ROUNDS, DAMPING, HELD = 40, 0.9, 10, 0.5, 30.0
+CHAIN_GAP, SURE, DAMPING, HELD = 40, 0.9, 0.5, 30.0
+#: Messages stop when none changes by more than CHANGE; ROUNDS only guards against those that never settle.
+CHANGE, ROUNDS = 1e-4, 400
+#: Bytes of text whose graphs are solved together; a single longer text is a step of its own.
+GRAPH_BYTES = 1 << 19
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # no match can begin inside digits
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
+_ADDRESS = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]+)\s?(?:@|[\[({]\s?(?:at|@)\s?[\])}])\s?([A-Za-z0-9.-]+)", re.IGNORECASE)
+_BRACKETED = re.compile(r"[\[({]\s?(?:at|@)\s?[\])}]", re.IGNORECASE)
 _STRETCH = re.compile(r"[+(]?[0-9](?:[\x20().\-]{0,2}[0-9])*")
 _HINT = np.zeros(256, bool)
 _HINT[[*range(48, 58), 64]] = True
@@ -93,52 +102,134 @@ class Nodes:
 N_FEATURES = 20
 
 
-def nodes(text: str, base: list[Span]) -> Nodes:
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """What stands around each '@', to the next white space, and addresses with a bracketed "at"."""
     spans, at, end = [], text.find("@"), 0
-    while at >= 0:  # what stands around an '@', to the next white space, 320 code points at most
+    while at >= 0:
         lo, hi = at, at + 1
-        while lo > max(end, at - 320) and not text[lo - 1].isspace():
+        while lo > end and not text[lo - 1].isspace():
             lo -= 1
-        while hi < min(len(text), at + 320) and not text[hi].isspace():
+        while hi < len(text) and not text[hi].isspace():
             hi += 1
         spans.append((lo, hi))
         end = hi
         at = text.find("@", hi)
-    taken = np.zeros(0, np.int64) if not spans else np.array(spans)
+    if not spans:  # only an address that is spelt out somewhere can vouch for another
+        return spans
+    for m in _BRACKETED.finditer(text):
+        lo, hi = m.start(), m.end()
+        lo -= lo > 0 and text[lo - 1] == " "
+        hi += hi < len(text) and text[hi] == " "
+        while lo > 0 and text[lo - 1] in LOCAL:
+            lo -= 1
+        while hi < len(text) and (text[hi].isascii() and text[hi].isalnum() or text[hi] in ".-"):
+            hi += 1
+        spans.append((lo, hi))
+    spans.sort()
+    apart: list[tuple[int, int]] = []
+    for lo, hi in spans:
+        if apart and lo < apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(hi, apart[-1][1]))
+        else:
+            apart.append((lo, hi))
+    return apart
+
+
+def nodes(text: str, base: list[Span]) -> Nodes:
+    addresses = _addresses(text)
+    spans = [(lo, hi, True) for lo, hi in addresses]
+    taken = np.array(addresses) if addresses else np.zeros((0, 2), np.int64)
     for m in _STRETCH.finditer(text):
         if len(taken):
             i = np.searchsorted(taken[:, 0], m.end()) - 1
             if i >= 0 and taken[i, 1] > m.start():
                 continue
-        spans.append(m.span())
+        spans.append((*m.span(), False))
     spans.sort()
-    features, keys, chain, skip = np.zeros((len(spans), N_FEATURES)), {}, [], []
+    features, keys, chain = np.zeros((len(spans), N_FEATURES)), [], []
     held, j = np.full(len(spans), -1), 0
-    for i, (lo, hi) in enumerate(spans):
+    for i, (lo, hi, address) in enumerate(spans):
         x = text[lo:hi]
-        digits = "".join(_DIGITS.findall(x))
-        n, parts = len(digits), _DIGITS.findall(x)
+        parts = _DIGITS.findall(x)
+        digits = "".join(parts)
+        n = len(digits)
         left, right = text[lo - 1 : lo], text[hi : hi + 1]
         bucket = int(np.searchsorted([1, 4, 7, 9, 12, 16, 20], n, "right"))
         f = features[i]
         f[0], f[1 + bucket] = 1, 1
         f[9:] = [
-            "@" in x, x.count(".") == 3 and len(parts) == 4, "." in x, x.startswith("+"), "(" in x, " " in x, "-" in x, left.isalpha() or left in "=\"'",
-            right.isalpha(), 12 <= n <= 19 and luhn(digits), len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts),
+            address, x.count(".") == 3 and len(parts) == 4, "." in x, x.startswith("+"), "(" in x, " " in x, "-" in x, left.isalpha() or left in "=\"'",
+            right.isalpha(), 12 <= n <= 19 and luhn(digits), len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts),
         ]
         if i and lo - spans[i - 1][1] <= CHAIN_GAP:
             chain.append((i - 1, i))
-        for key in [("w", x.lower())] * ("@" in x) + [("d", digits)] * (n >= 6) + [("7", digits[-7:])] * (n >= 7):
-            if key in keys and (keys[key], i) not in skip[-2:]:
-                skip.append((keys[key], i))
-            keys[key] = i
+        spelt = _ADDRESS.search(x) if address else None
+        if address:
+            keys.append([("w", f"{spelt[1]}@{spelt[2]}".lower().rstrip(".-"))] if spelt else [])
+        else:
+            keys.append([("d", digits)] * (n >= 6) + [("7", digits[-7:])] * (n >= 7))
         while j < len(base) and base[j][2] <= lo:
             j += 1
-        for kind, a, b in base[j : j + 4]:
-            if a < hi and b > lo:
-                held[i] = kind
+        k = j
+        while k < len(base) and base[k][1] < hi:
+            if base[k][2] > lo:
+                held[i] = base[k][0]
                 break
-    return Nodes(spans, features, held, chain, skip)
+            k += 1
+    hubs: dict[tuple[str, str], int] = {}
+    for sure in (True, False):
+        for i, own in enumerate(keys):
+            if (held[i] >= 0) == sure:
+                for key in own:
+                    hubs.setdefault(key, i)
+    skip = sorted({(min(i, h), max(i, h)) for i, own in enumerate(keys) for key in own if (h := hubs[key]) != i})
+    return Nodes([(lo, hi) for lo, hi, _ in spans], features, held, chain, skip)
+
+
+_APART = " and so on, as was said before, and so on, as was said before, and so on. "
+
+
+def odd(text: str, base: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its sure mentions once more, each in a format that the patterns don't know, and where those stand. Formats take turns."""
+    out, end, more, seen = [text], len(text), [], set()
+    for turn, (kind, a, b) in enumerate(base):
+        x = text[a:b]
+        parts = _DIGITS.findall(x)
+        digits = "".join(parts)
+        if (kind, digits if kind else x) in seen:
+            continue
+        seen.add((kind, digits if kind else x))
+        if kind == 0:
+            name, _, domain = x.partition("@")
+            made = f"{name} (at) {domain}" if turn % 2 else f"{name}[at]{domain}"
+        elif kind == 1:
+            made = "-".join(parts) if turn % 2 else " ".join(parts)
+        elif kind == 2:
+            groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+            made = ".".join(groups) if turn % 2 else "  ".join(groups)
+        else:
+            made = [digits, f"{digits[:-10]} ({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}".strip(), f"{digits[-10:-7]}.{digits[-7:-4]}.{digits[-4:]}"][turn % 3]
+        out += [_APART, made]
+        more.append((kind, end + len(_APART), end + len(_APART) + len(made)))
+        end = more[-1][2]
+    return "".join([*out, _APART]), more
+
+
+def example(text: str) -> Nodes:
+    """Nodes to fit on: labels in ``held``, -2 where there is none to learn from."""
+    base = base_spans(text)
+    text, more = odd(text, base)
+    out = nodes(text, base)
+    sure = out.held >= 0
+    for i, (lo, hi) in enumerate(out.spans):
+        for kind, a, b in more if out.held[i] < 0 else ():
+            if a < hi and b > lo:
+                out.held[i] = kind
+    for a, b in out.skip:
+        for i, other in ((a, b), (b, a)):
+            if sure[other] and out.held[i] == -1:
+                out.held[i] = -2
+    return out
 
 
 @dataclass
@@ -149,7 +240,7 @@ class Weights:
 
 
 def fit(found: list[Nodes], rounds: int = 300) -> Weights | None:
-    """Pseudo-likelihood: every node given its features and its neighbours' labels, by gradient ascent."""
+    """Pseudo-likelihood: every node (but those labelled -2) given its features and its neighbours' labels, by gradient ascent."""
     found = [x for x in found if x.spans]
     if not found:
         return None
@@ -160,10 +251,11 @@ def fit(found: list[Nodes], rounds: int = 300) -> Weights | None:
         near = np.zeros((len(y), 2 * k))
         for at, edges in ((0, x.chain), (k, x.skip)):
             for a, b in edges:
-                near[a, at + y[b]] += 1
-                near[b, at + y[a]] += 1
-        inputs.append(np.hstack([x.features, near]))
-        labels.append(y)
+                near[a, at + y[b]] += x.held[b] > -2
+                near[b, at + y[a]] += x.held[a] > -2
+        known = x.held > -2
+        inputs.append(np.hstack([x.features, near])[known])
+        labels.append(y[known])
     inputs, labels = np.vstack(inputs), np.concatenate(labels)
     target = np.eye(k)[labels]
     weights, speed = np.zeros((inputs.shape[1], k)), np.zeros((inputs.shape[1], k))
@@ -202,7 +294,11 @@ def marginals(found: list[Nodes], weights: Weights) -> list[np.ndarray]:
             top = out.max(axis=1)
             new = top + np.log(np.exp(out - top[:, None]).sum(axis=1))
             new -= new.max(axis=1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
+            new = DAMPING * message + (1 - DAMPING) * new
+            still = np.abs(new - message).max() < CHANGE
+            message = new
+            if still:
+                break
         np.add.at(unary, to, message)
     return np.split(_softmax(unary), offsets[1:-1])
 
@@ -219,7 +315,7 @@ def hinted(batch: pa.RecordBatch) -> np.ndarray:
 
 def learned(docs: DataFrame, fit_docs: int = 2000) -> Weights | None:
     sample = bounded_sample(docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]")), ["doc_id", "text"], fit_docs)
-    return fit([nodes(r.text, base_spans(r.text)) for r in sample])
+    return fit([example(r.text) for r in sample])
 
 
 def find_personal_data(docs: DataFrame, weights: Weights | None = None, fit_docs: int = 2000) -> DataFrame:
@@ -230,9 +326,10 @@ def find_personal_data(docs: DataFrame, weights: Weights | None = None, fit_docs
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         base: list[list[Span]] = [[]] * batch.num_rows
         every: list[list[Span]] = [[]] * batch.num_rows
-        rows = hinted(batch)
-        for lo in range(0, len(rows), 256):
-            own = rows[lo : lo + 256].tolist()
+        rows, (_, offsets) = hinted(batch), byte_column(batch.column("text"))
+        ends = np.concatenate([[0], np.cumsum(np.diff(offsets)[rows])])
+        for lo, hi in steps(ends, GRAPH_BYTES):
+            own = rows[lo:hi].tolist()
             texts = batch.column("text").take(pa.array(own)).to_pylist()
             found = []
             for i, text in zip(own, texts, strict=True):
@@ -253,14 +350,15 @@ def find_personal_data(docs: DataFrame, weights: Weights | None = None, fit_docs
 
 def redact(docs: DataFrame, weights: Weights | None = None, fit_docs: int = 2000) -> DataFrame:
     """``docs`` with its own columns; each span in the text becomes its kind in brackets, overlapping spans the first's."""
-    found = find_personal_data(docs.drop("base_spans", "all_spans"), weights, fit_docs)
+    own, back = set_aside(docs, "doc_id", "text")
+    found = find_personal_data(own, weights, fit_docs)
     cut = F.expr(
         "aggregate(all_spans, named_struct('at', 0L, 'out', ''),"
         " (a, s) -> if(s.start < a.at, named_struct('at', greatest(a.at, s.end), 'out', a.out),"
         " named_struct('at', s.end, 'out', concat(a.out, substring(text, cast(a.at + 1 as int), cast(s.start - a.at as int)), '[', upper(s.kind), ']'))),"
         " a -> concat(a.out, substring(text, cast(a.at + 1 as int), length(text))))"
     )
-    return found.withColumn("text", F.when(F.size("all_spans") > 0, cut).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(found.withColumn("text", F.when(F.size("all_spans") > 0, cut).otherwise(F.col("text"))))
 
 
 def digests(found: DataFrame) -> DataFrame:
