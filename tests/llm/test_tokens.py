@@ -77,12 +77,27 @@ def test_packing(repeated, empty, library):
         assert len(ids) == s.n_tokens == sum(p.length for p in s.pieces) <= 256
         at = 0
         for p in s.pieces:
+            assert p.offset == at
             pieces[p.doc_id].append((p.start, tuple(ids[at : at + p.length])))
             at += p.length
     assert {d: sorted(x) for d, x in pieces.items()} == {d: sorted((k, tuple(x[k : k + 256])) for x in own for k in range(0, len(x), 256)) for d, own in texts.items()}
     assert len({s.sequence_id for s in sequences}) == len(sequences)
     assert sum(256 - s.n_tokens for s in sequences) < 0.1 * 256 * len(sequences)
     assert packing.pack_documents(empty).count() == 0
+    given = packing.pack_documents(repeated, capacity=256, group_pieces=64)
+    made = Counter(tuple(r) for r in packing.digests(given).select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect())
+    want = Counter((d, k, len(x[k : k + 256]), zlib.crc32(x[k : k + 256].astype("<u4").tobytes()), len(x)) for d, own in texts.items() for x in own for k in range(0, len(x), 256))
+    assert made == want
+    places = {(r.sequence_id, r.offset) for r in packing.digests(given).collect()}
+    assert len(places) == sum(want.values())
+
+
+def test_groups_do_not_depend_on_the_order(spark):
+    """A task that gets its rows in another order deals the same pieces to the same groups, copies too."""
+    rows = [(i % 40 if i % 3 else None, f"text {i % 50} " * (i % 9)) for i in range(400)]
+    deal = lambda x: Counter((r.group, r.doc_id, r.start, r.ids) for r in spark.createDataFrame(x, "doc_id long, text string").coalesce(1).mapInArrow(lambda b: packing.cut(b, default_vocabulary(), 1, 16, 7, 11), "group long, doc_id long, start long, length long, doc_tokens long, ids binary").collect())
+    one = deal(rows)
+    assert one == deal(rows[::-1]) and len({g for g, *_ in one}) == 7
 
 
 def test_first_fit_decreasing():

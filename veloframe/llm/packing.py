@@ -1,7 +1,8 @@
 """Operator 2: pack documents into sequences by first-fit decreasing in randomised groups.
 
-A document's ids, with the end id, are cut into pieces of at most ``capacity``. Pieces go to groups at random
-(about ``group_pieces`` in each, whatever the size of the corpus), and each group is packed by itself: pieces by descending
+A document's ids, with the end id, are cut into pieces of at most ``capacity``. Pieces go to groups by a hash of what they are
+(about ``group_pieces`` in each, whatever the size of the corpus; pieces that agree in all are told apart by their number in the task), so a task
+that runs again deals them as before, in whatever order its rows come. Each group is packed by itself: pieces by descending
 length, each into the first bin with room, which a tournament tree over the bins' free room finds in logarithmic time.
 
 Cases: a null or empty text is its end id alone; equal doc_ids and repeated rows are packed each for itself; a text of any
@@ -10,6 +11,7 @@ length is cut; an empty table gives no sequences; further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import byte_column, steps
+from veloframe.llm.common import byte_column, mixed, steps
 from veloframe.llm.tokens import default_vocabulary, encoder
 
-PIECE = "struct<doc_id:long,start:long,length:long,doc_tokens:long>"
+PIECE = "struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>"
 
 
 class Bins:
@@ -60,7 +62,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacity: int, groups: int, seed: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    draw = np.random.default_rng([seed, TaskContext.get().partitionId()])
+    salt, met = np.uint64(seed * 0x9E3779B9 + TaskContext.get().partitionId()), {}
     tool = encoder(vocabulary)
     width, end = tool.kind.itemsize, np.array([end_id], tool.kind).tobytes()
     for batch in batches:
@@ -71,8 +73,15 @@ def cut(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacit
             rows = [(i, at // width, len(x) // width, x[at : at + capacity * width]) for i, x in enumerate(ids) for at in range(0, len(x), capacity * width)]
             which, start, total, raw = (list(c) for c in zip(*rows, strict=True))
             length = np.array([len(x) // width for x in raw], np.int64)
+            own = doc_ids.slice(lo, hi - lo).take(pa.array(which))
+            what = mixed(own.fill_null(-1).to_numpy().view(np.uint64) + mixed(np.array(start, np.uint64)) + mixed(np.array([zlib.crc32(x) for x in raw], np.uint64)))
+            nth = []
+            for h in what.tolist():
+                met[h] = met.get(h, -1) + 1
+                nth.append(met[h])
+            group = (mixed(what * np.uint64(3) + mixed(np.array(nth, np.uint64) + salt)) % np.uint64(groups)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(draw.integers(0, groups, len(rows))), doc_ids.slice(lo, hi - lo).take(pa.array(which)), pa.array(start, pa.int64()), pa.array(length), pa.array(total, pa.int64()), pa.array(raw, pa.binary())],
+                [pa.array(group), own, pa.array(start, pa.int64()), pa.array(length), pa.array(total, pa.int64()), pa.array(raw, pa.binary())],
                 ["group", "doc_id", "start", "length", "doc_tokens", "ids"],
             )
 
@@ -94,9 +103,11 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int =
         data = data.view(kind).astype("<u4")
         firsts = np.flatnonzero(np.diff(bins, prepend=-1))
         cuts = np.append(firsts, len(bins))
-        ends = (offsets // kind.itemsize)[cuts]
+        at = offsets // kind.itemsize
+        ends = at[cuts]
         raw = data.tobytes()
         found = table.select(["doc_id", "start", "length", "doc_tokens"]).combine_chunks()
+        found = found.append_column("offset", pa.array(at[:-1] - np.repeat(at[firsts], np.diff(cuts))))
         structs = pa.StructArray.from_arrays([found.column(c).combine_chunks() for c in found.column_names], names=found.column_names)
         return pa.table({
             "sequence_id": pa.array((group << 32) + bins[firsts]), "n_tokens": pa.array(np.diff(ends)),
@@ -109,10 +120,9 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int =
 
 def digests(sequences: DataFrame) -> DataFrame:
     """A row for each piece: where it lies and the crc32 of its ids."""
-    before = F.expr("transform(pieces, (p, i) -> aggregate(slice(pieces, 1, i), 0L, (a, q) -> a + q.length))")
-    placed = sequences.select("sequence_id", "ids", F.explode(F.arrays_zip(F.col("pieces").alias("piece"), before.alias("offset"))).alias("x"))
-    own = F.expr("substring(ids, cast(4 * x.offset + 1 as int), cast(4 * x.piece.length as int))")
-    return placed.select("x.piece.doc_id", "x.piece.start", "x.piece.length", F.crc32(own).alias("ids_crc32"), "x.piece.doc_tokens", "sequence_id", "x.offset")
+    placed = sequences.select("sequence_id", "ids", F.explode("pieces").alias("piece"))
+    own = F.expr("substring(ids, cast(4 * piece.offset + 1 as int), cast(4 * piece.length as int))")
+    return placed.select("piece.doc_id", "piece.start", "piece.length", F.crc32(own).alias("ids_crc32"), "piece.doc_tokens", "sequence_id", "piece.offset")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
