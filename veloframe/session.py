@@ -12,8 +12,15 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker, where the session sets none (then it is 64 MB): both sides hold several at a time.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, unless their PYTHONPATH already has it. Done once for each context."""
+    """Send the package to the executors, unless their PYTHONPATH already has it (once for each context), and keep Arrow batches small."""
+    name, size = BATCH
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(size))
     paths = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     context = spark.sparkContext
     if str(ROOT) in paths or getattr(context, "_veloframe_shipped", False):
