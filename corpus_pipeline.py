@@ -13,6 +13,9 @@ from veloframe.llm import common, decontamination, jaccard, languages, packing,
 from veloframe.session import ship
 
 
+_loaded: list[languages.Identifier] = []
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """n_chars anew, where documents have it."""
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -22,13 +25,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Learn from the labelled documents that are not held out; texts in none of their languages, or without letters, go."""
     ship(spark)
     model = languages.learned(docs.filter(~languages.held_out()))
-    found = languages.identify(docs, model).filter(~F.col("lang_rejected"))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    _loaded.append(model)
+    return languages.keep_identified(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similarity links, the one of the least doc_id stays."""
+    """Of documents that similarity links, one of the least doc_id stays."""
     ship(spark)
+    while _loaded:  # the language models are of no more use
+        _loaded.pop().unload()
     return jaccard.drop_similar(docs)
 
 
@@ -63,7 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = common.staged(stage(spark, docs, sf_dir), name)
+        if name != STAGES[0][0]:
+            common.release(spark, before)
+        before = docs
     return docs
