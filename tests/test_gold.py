@@ -17,8 +17,9 @@ def act(id_, type_="Ride", start="2024-02-20 08:00:00", elapsed=3600, moving=350
 @pytest.fixture(scope="module")
 def acts(spark):
     rows = [act(1), act(2, start="2024-02-20 08:10:00", elapsed=1000), act(3, "Swim", "2024-02-21 07:00:00", 1800, 1750, 1500.0, None), act(4, "Swim", "2024-02-22 07:00:00", 1800, 1200, 1500.0, None),
-            act(5, "Yoga", "2024-01-10 07:00:00", 1800, 1800, 0.0, None), act(6, "VirtualRide", "2024-01-20 07:00:00", 12_000, 11_000, 90_000.0, "g9999999", description="Coach notes NP 210 IF 0.84 TSS 80 CTL 50 TSB -3")]
-    df = spark.createDataFrame(rows, ACT).withColumn("start_ts_utc", F.to_timestamp("start"))
+            act(5, "Yoga", "2024-01-10 07:00:00", 1800, 1800, 0.0, None), act(6, "VirtualRide", "2024-01-20 07:00:00", 12_000, 11_000, 90_000.0, "g9999999", description="훈련상태 체력 50 피로 60 균형 -10, R파워 210w 강도 0.84 훈련량 80 회복시간 12 시간, 지구력 훈련 (L2) 20분  230w")]
+    # Local days, nine hours ahead of UTC.
+    df = spark.createDataFrame(rows, ACT).withColumn("start_ts_utc", F.to_timestamp("start")).withColumn("start_date_key", F.expr("cast(start_ts_utc + interval 9 hours as date)"))
     return silver.activities(df, {"g1": "road one"}, CONFIG).cache()
 
 
@@ -63,13 +64,14 @@ def test_power_marts(spark, acts, points, ftp):
     assert {r.activity_id for r in gold.int_power_curve_ride(power, clean, clean.filter("activity_id = 1"), CONFIG).collect()} == {6}
     mart = gold.mart_power_curve(curve, CONFIG)
     top = {(r.duration_s, r.window_label): (r.activity_id, r.duration_label) for r in mart.collect()}
-    assert top[60, "all"] == (6, "1 min") and top[10_800, "all"][1] == "3 h" if (10_800, "all") in top else top[60, "all"] == (6, "1 min")
+    assert top[60, "all_time"] == (6, "1분") and top[3600, "recent_90d"][1] == "1시간"
     est = {r.window_label: r for r in gold.mart_ftp_estimate(mart, ftp).collect()}
-    assert est["all"].by_20min == pytest.approx(190) and est["all"].cp == pytest.approx(200)
+    assert est["all_time"].by_20min == pytest.approx(190) and est["all_time"].cp == pytest.approx(200) and est["all_time"].method_spread == pytest.approx(10)
     zones = {(r.activity_id, r.zone): (r.seconds, r.pct) for r in gold.mart_power_zones(power, clean, ftp, CONFIG).collect()}
     assert zones[1, 3] == (3000, 100.0) and sum(p for (a, _), (_, p) in zones.items() if a == 6) == pytest.approx(100)
     load = {r.activity_id: r for r in gold.int_ride_load(points, ftp, CONFIG).collect()}
-    assert load[1].grind_s == 1500 and load[1].climb_s == 100 and load[1].grind_climb_s == 50 and load[1].mean_cadence == 60
+    assert load[1].grind_s == 1500 and load[1].climb_s == 100 and load[1].grind_climb_s == 50 and load[1].pedaling_cadence == 60 and load[1].power_samples == 3000
+    assert {r.activity_id for r in gold.int_ride_load(points, ftp, CONFIG, spark.createDataFrame([(1, 250.0), (6, 240.0)], 'activity_id long, ftp_anchor double')).collect()} == {6}
     long = gold.mart_ride_durability(power, clean, CONFIG).collect()
     assert [r.activity_id for r in long] == [6] and not long[0].dropout and long[0].q4_to_q1 == pytest.approx(200 / 150)
 
@@ -82,8 +84,8 @@ def test_totals(acts):
     periods = {(r.period_type, r.period, r.sport): r.activities for r in gold.mart_period_summary(clean).collect()}
     assert periods["month", "2024-02", "swimming"] == 2 and periods["all", "all", "cycling"] == 2 and periods["year", "2024", "other"] == 1
     assert {(r.year, r.sport): r.indoor for r in gold.mart_yearly_summary(clean).collect()}[2024, "cycling"] == 1
-    gear = {(r.sport, r.gear_label): r.indoor_pct for r in gold.mart_gear_usage(clean).collect()}
-    assert gear["cycling", "road one"] == 0.0 and gear["cycling", "other(g99999…)"] == 100.0
+    gear = {(r.gear_id, r.gear_label): r.indoor_pct for r in gold.mart_gear_usage(clean).collect()}
+    assert gear == {("g1", "road one"): 0.0, ("g9999999", "other(g99999…)"): 100.0}
     pace = gold.mart_swim_pace_monthly(clean).first()
     assert (pace.swims, pace.paced_swims, pace.pace_s_per_100m, pace.pace_label) == (2, 1, 80.0, "1:20")
     status = gold.mart_training_status(clean, CONFIG)
@@ -97,21 +99,21 @@ def test_text_fields_and_symptoms(spark, acts, points, ftp):
     clean = gold.stg_activities(acts, CONFIG)
     said = gold.stg_service_notes(clean)
     r = gold.mart_service_metrics(said).first()
-    assert (r.np_watts, r.tss, r.tsb, r.implied_ftp, r.kj) == (210.0, 80.0, -3.0, 250.0, None)
-    log = spark.createDataFrame([("2024-02-20", "cycling", None, "knee", 3, 1), ("2024-02-20", "cycling", None, "knee", 3, 1), ("2024-02-21", "running", None, "back", 1, None), ("2024-01-20", "cycling", 6, "back", 5, None), ("2024-02-21", "swimming", None, "None", 1, None)],
-                                "d string, sport string, activity_id long, area string, severity int, next_day int").withColumn("symptom_date", F.to_date("d")).drop("d").withColumns({c: F.lit("") for c in ("side", "onset", "memo")})
+    assert (r.fitness, r.fatigue, r.form, r.r_power, r.intensity, r.load, r.recovery_h, r.training_type, r.peak_20min_w, r.peak_5min_w, r.implied_ftp) == (50, 60, -10, 210, 0.84, 80, 12, "지구력 훈련 (L2)", 230, None, 250)
+    log = spark.createDataFrame([("2024-02-20", "cycling", None, "무릎내측", 3, 1), ("2024-02-20", "cycling", None, "무릎내측", 3, 1), ("2024-02-21", "running", None, "허리", 1, None), ("2024-01-20", "cycling", 6, "허리", 5, None), ("2024-02-21", "swimming", None, "None", 1, None)],
+                                "d string, sport string, activity_id long, area string, severity int, next_day int").withColumn("symptom_date", F.to_date("d")).drop("d").withColumns({"side": F.lit("좌"), "onset": F.lit(""), "memo": F.lit(""), "confounders": F.lit("wind")})
     symptoms = gold.stg_symptoms(log, clean)
     assert sorted((r.link_method, r.activity_id or 0) for r in symptoms.collect()) == [("date_sport", 1), ("date_sport", 3), ("explicit", 6), ("unmatched", 0)]
     assert quality.unlinked(symptoms).count() == 1 and quality.no_literal_none(log, ["area"]).count() == 1
-    changes = gold.stg_fitting_changes(spark.createDataFrame([("2024-02-01", "road", "saddle", "L", "1", "2", "applied"), ("2024-02-10", "shoes", "cleat", "", "1", None, "applied"), ("2024-02-15", "road", "bar", "", "", "", "planned")],
+    changes = gold.stg_fitting_changes(spark.createDataFrame([("2024-02-01", "road", "saddle", "L", "1", "2", "applied"), ("2024-02-10", "신발", "cleat", "", "1", None, "applied"), ("2024-02-15", "road", "bar", "", "", "", "planned")],
                                                              "d string, target string, item string, side string, before string, after string, status string").withColumn("effective_date", F.to_date("d")))
     assert sorted(r.change_label for r in changes.collect()) == ["cleat", "saddle(L) 2"]
     bike = F.when(F.col("gear_label").like("road%"), "road").otherwise("other")
     rides = gold.mart_symptom_ride(clean, symptoms, changes, gold.mart_ride_power(points, clean, ftp, CONFIG), gold.int_ride_load(points, ftp, CONFIG), bike)
     got = {r.activity_id: r for r in rides.collect()}
-    assert got[1].knee_severity == 3 and got[1].back_severity is None and str(got[1].setup_since) == "2024-02-10" and got[6].setup_since is None
-    epochs = {(r.bike, str(r.setup_since)): (r.changes, r.rides, r.recorded) for r in gold.mart_fitting_epochs(rides, changes).collect()}
-    assert epochs == {("road", "2024-02-10"): ("cleat", 1, 1), ("other", "None"): ("baseline", 1, 1)}
+    assert got[1].knee_medial_l == 3 and got[1].knee_medial_l_next == 1 and got[1].low_back is None and got[1].confounders == "wind" and str(got[1].setup_since) == "2024-02-10" and got[6].setup_since is None and got[6].low_back == 5
+    epochs = {r.epoch: (r.changes, r.n_changes, r.rides, r.knee_rides, r.knee_ge4_rides) for b in ("road", "other") for r in gold.mart_fitting_epochs(rides, changes, b).collect()}
+    assert epochs == {"2024-02-10": ("cleat", 1, 1, 1, 0), "baseline": (None, None, 1, 0, 0)}
     feed = gold.mart_activity_feed(clean, gold.mart_ride_power(points, clean, ftp, CONFIG), said, symptoms)
     assert feed.count() == clean.count() and feed.filter("activity_id = 1").first().symptoms == 1
     bundle = {r.activity_id: r.bundle for r in coach.bundles(feed, feed, "2024-02-22").collect()}

@@ -17,6 +17,9 @@ class Config:
     smooth_s: int = 30
     # Upper ends of the power zones as shares of the threshold power.
     zones: tuple[float, ...] = (0.56, 0.76, 0.91, 1.06, 1.21, 1.51)
+    # Names of the zones, and of seconds, minutes and hours behind a number.
+    zone_labels: tuple[str, ...] = ("Z1 회복", "Z2 지구력", "Z3 템포", "Z4 임계", "Z5 VO2max", "Z6 무산소", "Z7 신경근")
+    time_units: tuple[str, str, str] = ("초", "분", "시간")
     # Sport types by sport.
     sports: dict[str, tuple[str, ...]] = field(default_factory=lambda: {
         "cycling": ("Ride", "VirtualRide", "MountainBikeRide", "GravelRide", "EBikeRide"),

@@ -7,7 +7,7 @@ row of it (``current_ftp``), which is joined as a broadcast of one row.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +30,8 @@ def stg_trackpoints(silver: DataFrame) -> DataFrame:
 
 
 def stg_power_points(points: DataFrame) -> DataFrame:
-    return points.filter("watts is not null").select("activity_id", "point_ts", "watts")
+    """Points of rides with power; runs with power are another measure."""
+    return points.filter("sport = 'cycling' and watts is not null").select("activity_id", "point_ts", "watts")
 
 
 def stg_ftp(ftp_log: DataFrame) -> DataFrame:
@@ -75,45 +76,63 @@ def stg_symptoms(log: DataFrame, activities: DataFrame) -> DataFrame:
     return out.drop("activity_id").withColumnsRenamed({"linked": "activity_id", "method": "link_method"}).withColumn("link_method", F.when(F.col("link_method") == "date", "date_sport").otherwise(F.col("link_method")))
 
 
-#: What the service writes into descriptions, by field: pattern and type.
+#: What the service writes into descriptions, by field: pattern, group and type.
 SERVICE_FIELDS = {
-    "training_type": (r"#(\S+)", "string"), "np_watts": (r"NP[ :]*([0-9.]+)", "double"), "if_value": (r"IF[ :]*([0-9.]+)", "double"), "tss": (r"TSS[ :]*([0-9.]+)", "double"),
-    "peak_5s": (r"5s[ :]*([0-9.]+)", "double"), "peak_1m": (r"\b1m[ :]*([0-9.]+)", "double"), "peak_5m": (r"\b5m[ :]*([0-9.]+)", "double"), "peak_20m": (r"20m[ :]*([0-9.]+)", "double"),
-    "ctl": (r"CTL[ :]*([0-9.]+)", "double"), "atl": (r"ATL[ :]*([0-9.]+)", "double"), "tsb": (r"TSB[ :]*(-?[0-9.]+)", "double"), "kj": (r"([0-9.]+) ?kJ", "double"),
-}
-
-
-def stg_service_notes(activities: DataFrame, mark: str = "coach notes") -> DataFrame:
-    """Numbers that a service wrote into descriptions, and the threshold power that they imply."""
+    "fitness": (r"체력\s*(-?\d+)", 1, "int"),
+    "fatigue": (r"피로\s*(-?\d+)", 1, "int"),
+    "form": (r"균형\s*(-?\d+)", 1, "int"),
+    "r_power": (r"R파워\s*(\d+)", 1, "int"),
+    "intensity": (r"강도\s*([\d.]+)", 1, "double"),
+    "load": (r"훈련량\s*(\d+)", 1, "int"),
+    "recovery_h": (r"회복시간\s*(\d+)\s*시간", 1, "int"),
+    "training_type": (r"([가-힣A-Za-z][가-힣A-Za-z ]*훈련)\s*\(([^)]*)\)", 0, "string"),
+    "peak_5min_w": (r"5분\s+(\d+)w", 1, "int"),
+    "peak_20min_w": (r"20분\s+(\d+)w", 1, "int"),
+    "peak_40min_w": (r"40분\s+(\d+)w", 1, "int"),
+    "peak_1h_w": (r"1시간\s+(\d+)w", 1, "int"),
+}
+#: Words that all stand in what the service writes.
+SERVICE_WORDS = ("훈련상태", "R파워")
+
+
+def stg_service_notes(activities: DataFrame, service: str | None = None) -> DataFrame:
+    """Numbers that a service wrote into descriptions, and the threshold power that they imply: where its words stand, or its name (``service``, in any case)."""
     text = F.col("description")
-    out = activities.filter(F.lower(text).like(f"%{mark}%"))
-    for name, (pattern, kind) in SERVICE_FIELDS.items():
-        out = out.withColumn(name, F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast(kind))
-    return out.withColumn("implied_ftp", per(F.col("np_watts"), F.col("if_value")))
+    its = F.lit(True)
+    for word in SERVICE_WORDS:
+        its = its & text.contains(word)
+    if service:
+        its = its | F.lower(text).contains(service.lower())
+    out = activities.filter(its)
+    for name, (pattern, group, kind) in SERVICE_FIELDS.items():
+        out = out.withColumn(name, F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast(kind))
+    return out.withColumn("implied_ftp", F.round(per(F.col("r_power"), F.col("intensity"))).cast("int"))
 
 
 # Intermediate
 
 
 def int_power_curve_ride(power: DataFrame, activities: DataFrame, done: DataFrame | None = None, config: Config = Config()) -> DataFrame:
-    """activity_id, duration_s, best_watts, activity_date. Activities of ``done`` (activity_id) are left out before the windows, not after."""
+    """activity_id, duration_s, best_watts, activity_date and name. Activities of ``done`` (activity_id) are left out before the windows, not after."""
     if done is not None:
         power = power.join(done.select("activity_id").distinct(), "activity_id", "left_anti")
     windows = [(s, math.ceil(s * config.window_share)) for s in config.durations]
     best = best_means_by_second(power, "activity_id", "point_ts", "watts", windows).withColumnsRenamed({"seconds": "duration_s", "best": "best_watts"})
-    return best.join(activities.select("activity_id", "activity_date"), "activity_id")
+    return best.join(activities.select("activity_id", "activity_date", "name"), "activity_id")
 
 
-def int_ride_load(points: DataFrame, ftp: DataFrame, config: Config = Config()) -> DataFrame:
-    """Seconds of low cadence under load, of climbing, and both; mean cadences."""
-    p = points.filter("watts is not null or cadence is not null").crossJoin(F.broadcast(ftp))
-    grind = (F.col("cadence") > 0) & (F.col("cadence") < config.low_cadence) & (F.col("watts") >= config.hard_share * F.col("ftp"))
-    steep = F.col("grade_pct") >= config.climb_grade
-    climb = steep & F.coalesce("moving", F.lit(True))
+def int_ride_load(points: DataFrame, ftp: DataFrame, config: Config = Config(), done: DataFrame | None = None) -> DataFrame:
+    """Of rides with power: seconds of low cadence under load, of climbing, and both; mean cadences. Rides of ``done`` (activity_id, ftp_anchor) are
+    left out where their anchor is still the present one, since a new anchor makes all old rows wrong."""
+    p = points.filter("sport = 'cycling' and watts is not null").crossJoin(F.broadcast(ftp))
+    if done is not None:
+        p = p.join(done.select("activity_id", F.col("ftp_anchor").alias("ftp")).distinct(), ["activity_id", "ftp"], "left_anti")
     turning = F.col("cadence") > 0
+    grind = turning & (F.col("cadence") < config.low_cadence) & (F.col("watts") >= config.hard_share * F.col("ftp"))
+    steep = F.col("grade_pct") >= config.climb_grade
     return p.groupBy("activity_id").agg(
-        F.count_if(grind).alias("grind_s"), F.count_if(climb).alias("climb_s"), F.count_if(grind & steep).alias("grind_climb_s"),
-        F.avg(F.when(turning, F.col("cadence"))).alias("mean_cadence"), F.avg(F.when(turning & climb, F.col("cadence"))).alias("climb_cadence"), F.max("ftp").alias("ftp_anchor"),
+        F.max("ftp").alias("ftp_anchor"), F.count(F.lit(1)).alias("power_samples"), F.count_if(grind).alias("grind_s"), F.count_if(steep & F.coalesce("moving", F.lit(True))).alias("climb_s"),
+        F.count_if(grind & steep).alias("grind_climb_s"), F.avg(F.when(turning & steep, F.col("cadence"))).alias("climb_cadence"), F.avg(F.when(turning, F.col("cadence"))).alias("pedaling_cadence"),
     )
 
 
@@ -131,68 +150,77 @@ def quarters(df: DataFrame, key: str, ts: str, value: str, seconds: int, active:
 
 def mart_ride_power(points: DataFrame, activities: DataFrame, ftp: DataFrame, config: Config = Config()) -> DataFrame:
     """Normalised power, intensity and stress of each ride, and how far the device's figure is from ours."""
-    power = stg_power_points(points)
-    smooth = power.select("activity_id", "watts", trailing("avg(watts)", "activity_id", "point_ts", config.smooth_s).alias("p"))
-    each = smooth.groupBy("activity_id").agg(l4_mean(F.col("p")).alias("np"), F.avg("watts").alias("mean_watts"), F.max("watts").alias("max_watts"), F.count(F.lit(1)).alias("power_s"))
-    out = each.join(activities.select("activity_id", "activity_date", "moving_time", "weighted_average_watts"), "activity_id").crossJoin(F.broadcast(ftp))
+    smooth = stg_power_points(points).select("activity_id", trailing("avg(watts)", "activity_id", "point_ts", config.smooth_s).alias("p"))
+    each = smooth.groupBy("activity_id").agg(l4_mean(F.col("p")).alias("np"), F.count(F.lit(1)).alias("power_samples"))
+    out = activities.filter("sport = 'cycling'").join(each, "activity_id").crossJoin(F.broadcast(ftp))
     intensity = F.col("np") / F.col("ftp")
     return out.withColumns({
-        "intensity": intensity, "variability": per(F.col("np"), F.col("mean_watts")), "tss": F.col("moving_time") * F.col("np") * intensity / (F.col("ftp") * 3600) * 100,
-        "np_diff": F.col("np") - F.col("weighted_average_watts"),
-    })
+        "intensity": intensity, "tss": F.col("moving_time") * F.col("np") * intensity / (F.col("ftp") * 3600) * 100, "np_diff": F.col("np") - F.col("weighted_average_watts"),
+    }).select(*[c for c in RIDE_CONTEXT if c in activities.columns], "np", "power_samples", "np_diff", "ftp", "intensity", "tss")
+
+
+#: What a ride's power mart carries of the activity.
+RIDE_CONTEXT = (
+    "activity_id", "activity_date", "year", "month", "name", "gear_label", "is_indoor", "distance_km", "moving_h", "moving_time", "elev_m", "average_watts", "weighted_average_watts",
+    "average_heartrate", "max_heartrate", "kilojoules",
+)
 
 
 def mart_power_zones(power: DataFrame, activities: DataFrame, ftp: DataFrame, config: Config = Config()) -> DataFrame:
-    """Seconds and share of each ride in each of seven zones."""
+    """Seconds, minutes and share of each ride in each of seven zones."""
     zone = zones(F.col("watts"), [b * F.col("ftp") for b in config.zones])
     each = power.crossJoin(F.broadcast(ftp)).groupBy("activity_id", zone.alias("zone")).agg(F.count(F.lit(1)).alias("seconds"))
     share = 100.0 * F.col("seconds") / F.sum("seconds").over(Window.partitionBy("activity_id"))
-    return each.withColumn("pct", share).join(activities.select("activity_id", "activity_date"), "activity_id")
+    label = F.get(F.array(*map(F.lit, config.zone_labels)), F.col("zone") - 1)
+    return each.withColumns({"zone_label": label, "minutes": F.col("seconds") / 60, "pct": share}).join(activities.select("activity_id", "activity_date", "name", "is_indoor"), "activity_id")
 
 
 def mart_ride_durability(power: DataFrame, activities: DataFrame, config: Config = Config()) -> DataFrame:
-    """Rides of three hours and more: power by quarter of the samples, and the last against the first."""
-    long = activities.filter(F.col("moving_time") >= config.long_ride_s).select("activity_id", "activity_date", "moving_time")
+    """Rides of three hours and more: power by quarter of the samples, the last against the first, and the second half against the first."""
+    long = activities.filter((F.col("sport") == "cycling") & (F.col("moving_time") >= config.long_ride_s)).select("activity_id", "activity_date", "name", "moving_time")
     out = quarters(power.join(long.select("activity_id"), "activity_id", "left_semi"), "activity_id", "point_ts", "watts", config.smooth_s, 0.0, config.dropout_share)
-    return out.join(long, "activity_id").withColumns({"q4_to_q1": per(F.col("q4"), F.col("q1")), "q4_to_q2": per(F.col("q4"), F.col("q2"))})
+    return out.join(long, "activity_id").withColumns({"q4_to_q1": per(F.col("q4"), F.col("q1")), "second_half_ratio": per(F.col("q3") + F.col("q4"), F.col("q1") + F.col("q2"))})
 
 
 def mart_power_curve(curve: DataFrame, config: Config = Config()) -> DataFrame:
     """The best of all rides and of recent ones for each duration; the earlier of equal bests."""
     recent = F.datediff(F.lit(config.as_of), "activity_date").between(0, config.curve_days)
-    labelled = curve.withColumn("window_label", F.explode(F.when(recent, F.array(F.lit("all"), F.lit("recent"))).otherwise(F.array(F.lit("all")))))
+    labelled = curve.withColumn("window_label", F.explode(F.when(recent, F.array(F.lit("all_time"), F.lit("recent_90d"))).otherwise(F.array(F.lit("all_time")))))
     out = top_one(labelled, ["duration_s", "window_label"], [F.desc("best_watts"), F.asc("activity_date"), F.asc("activity_id")])
     d = F.col("duration_s")
-    label = F.when(d < 60, F.concat(d.cast("string"), F.lit(" s"))).when(d < 3600, F.concat((d / 60).cast("int").cast("string"), F.lit(" min"))).otherwise(F.concat((d / 3600).cast("int").cast("string"), F.lit(" h")))
+    second, minute, hour = config.time_units
+    label = F.when(d < 60, F.concat(d.cast("string"), F.lit(second))).when(d < 3600, F.concat((d / 60).cast("int").cast("string"), F.lit(minute))).otherwise(F.concat((d / 3600).cast("int").cast("string"), F.lit(hour)))
     return out.withColumn("duration_label", label)
 
 
 def mart_ftp_estimate(curve: DataFrame, ftp: DataFrame) -> DataFrame:
-    """Threshold power by 95 % of 20 minutes, and by the critical-power line P = W'/t + CP through bests of 2 to 20 minutes."""
+    """Threshold power by 95 % of 20 minutes, and by the critical-power line P = W'/t + CP through bests of 2 to 20 minutes, which needs three points."""
+    x = 1.0 / F.col("duration_s")
     fit = curve.filter(F.col("duration_s").between(120, 1200)).groupBy("window_label").agg(
-        F.count(F.lit(1)).alias("points"), F.regr_slope(F.col("best_watts"), 1.0 / F.col("duration_s")).alias("w_prime"), F.regr_intercept(F.col("best_watts"), 1.0 / F.col("duration_s")).alias("cp"))
-    twenty = curve.filter("duration_s = 1200").select("window_label", (F.col("best_watts") * 0.95).alias("by_20min"))
-    out = fit.filter("points >= 3").join(twenty, "window_label").crossJoin(F.broadcast(ftp))
-    return out.withColumns({"by_20min_diff": F.col("by_20min") - F.col("ftp"), "cp_diff": F.col("cp") - F.col("ftp")})
+        F.count(F.lit(1)).alias("points"), F.regr_slope(F.col("best_watts"), x).alias("w_prime"), F.regr_intercept(F.col("best_watts"), x).alias("cp")).filter("points >= 3")
+    twenty = curve.filter("duration_s = 1200").select("window_label", F.col("best_watts").alias("p20"), F.col("activity_date").alias("p20_date"), (F.col("best_watts") * 0.95).alias("by_20min"))
+    out = twenty.join(fit, "window_label", "left").crossJoin(F.broadcast(ftp))
+    return out.withColumns({"by_20min_diff": F.col("by_20min") - F.col("ftp"), "cp_diff": F.col("cp") - F.col("ftp"), "method_spread": F.abs(F.col("by_20min") - F.col("cp"))})
 
 
 def mart_activity_feed(activities: DataFrame, power: DataFrame, notes: DataFrame, symptoms: DataFrame) -> DataFrame:
-    """A row an activity with what each source knows of it."""
-    felt = symptoms.filter("activity_id is not null").groupBy("activity_id").agg(F.count(F.lit(1)).alias("symptoms"), F.max("severity").alias("worst"))
-    out = activities.join(power.select("activity_id", "np", "intensity", "tss"), "activity_id", "left").join(notes.select("activity_id", "training_type", "implied_ftp"), "activity_id", "left").join(felt, "activity_id", "left")
+    """A row an activity with what each source knows of it. Pace comes from the mean speed, which leaves rests out."""
+    felt = symptoms.filter("activity_id is not null").groupBy("activity_id").agg(F.count(F.lit(1)).alias("symptoms"))
+    out = activities.join(power.select("activity_id", "np", "intensity", "tss"), "activity_id", "left").join(notes.select("activity_id", F.col("load").alias("service_load")), "activity_id", "left").join(felt, "activity_id", "left")
     return out.withColumns({
-        "moving_min": F.round(F.col("moving_time") / 60, 1), "pace_s_per_km": F.when(F.col("sport") == "running", per(F.col("moving_time"), F.col("distance")) * 1000),
-        "pace_s_per_100m": F.when(F.col("sport") == "swimming", per(F.col("moving_time"), F.col("distance")) * 100), "speed_kmh": F.when(F.col("sport") == "cycling", F.col("average_kmh")),
+        "moving_min": F.round(F.col("moving_time") / 60, 0), "pace_s_per_km": F.when(F.col("sport") == "running", per(F.lit(1000.0), F.col("average_speed"))),
+        "pace_s_per_100m": F.when(F.col("sport") == "swimming", per(F.lit(100.0), F.col("average_speed"))), "symptoms": F.coalesce("symptoms", F.lit(0)),
     })
 
 
 def mart_fitness_daily(fitness: DataFrame) -> DataFrame:
-    return fitness.select("fitness_date", F.round("ctl", 1).alias("ctl"), F.round("atl", 1).alias("atl"), F.round(F.col("ctl") - F.col("atl"), 1).alias("form"), "ramp_rate", "load", "ride_eftp")
+    return fitness.select("fitness_date", "ctl", "atl", F.round(F.col("ctl") - F.col("atl"), 1).alias("form"), "ramp_rate", "load", "ride_eftp")
 
 
 def mart_gear_usage(activities: DataFrame) -> DataFrame:
-    return activities.groupBy("sport", "gear_label").agg(
-        F.count(F.lit(1)).alias("activities"), F.sum("distance_km").alias("distance_km"), F.sum("moving_h").alias("moving_h"), F.sum("elev_m").alias("elev_m"),
+    """Bikes by their id: two of one label stay two."""
+    return activities.filter("sport = 'cycling'").groupBy("gear_id", "gear_label").agg(
+        F.count(F.lit(1)).alias("activities"), F.sum("distance_km").alias("distance_km"), F.sum("moving_h").alias("moving_h"), F.sum("elev_m").alias("elev_m"), F.avg("distance_km").alias("avg_km_per_ride"),
         F.count_if("is_indoor").alias("indoor"), (100.0 * F.count_if("is_indoor") / F.count(F.lit(1))).alias("indoor_pct"), F.min("activity_date").alias("first_used"), F.max("activity_date").alias("last_used"),
     )
 
@@ -212,24 +240,24 @@ def mart_yearly_summary(activities: DataFrame) -> DataFrame:
 def mart_period_summary(activities: DataFrame) -> DataFrame:
     """Months, years and all time, from one scan."""
     out = period_totals(activities, "activity_date", "sport", _totals())
-    return out.withColumns({c: F.round(c, 1) for c in ("distance_km", "moving_h", "elev_m")})
+    return out.withColumns({"distance_km": F.round("distance_km", 1), "moving_h": F.round("moving_h", 1), "elev_m": F.round("elev_m", 0)})
 
 
 def mart_service_metrics(notes: DataFrame) -> DataFrame:
-    return notes.select("activity_id", "activity_date", *SERVICE_FIELDS, F.round("implied_ftp").alias("implied_ftp"))
+    return notes.select("activity_id", "activity_date", *SERVICE_FIELDS, "implied_ftp")
 
 
 def weighted_pace(df: DataFrame, keys: Sequence[str], seconds: str, metres: str, sound: Column) -> DataFrame:
     """Seconds a hundred metres over the sound rows, weighted by distance; NULL where there is none."""
     pace = 100.0 * F.sum(F.when(sound, F.col(seconds))) / F.nullif(F.sum(F.when(sound, F.col(metres))).cast("double"), F.lit(0.0))
-    return df.groupBy(*keys).agg(pace.alias("pace"), F.count(F.lit(1)).alias("n"), F.count_if(sound).alias("sound"))
+    return df.groupBy(*keys).agg(pace.alias("pace"), F.count(F.lit(1)).alias("n"), F.count_if(sound).alias("sound"), F.sum(metres).alias("metres"))
 
 
 def mart_swim_pace_monthly(activities: DataFrame) -> DataFrame:
     """Pace of swimming itself: swims whose time holds rests don't count, months of nothing else are NULL."""
     swims = activities.filter((F.col("sport") == "swimming") & (F.col("distance") > 0))
-    out = weighted_pace(swims, ["month"], "moving_time", "distance", ~F.col("rest_included"))
-    return out.withColumnsRenamed({"pace": "pace_s_per_100m", "n": "swims", "sound": "paced_swims"}).withColumn("pace_label", minutes_seconds(F.col("pace_s_per_100m")))
+    out = weighted_pace(swims, ["month", "year"], "moving_time", "distance", ~F.col("rest_included"))
+    return out.withColumnRenamed("metres", "distance_m").withColumnsRenamed({"pace": "pace_s_per_100m", "n": "swims", "sound": "paced_swims"}).withColumn("pace_label", minutes_seconds(F.col("pace_s_per_100m")))
 
 
 def mart_training_status(activities: DataFrame, config: Config = Config()) -> DataFrame:
@@ -238,35 +266,60 @@ def mart_training_status(activities: DataFrame, config: Config = Config()) -> Da
     age = F.datediff(F.lit(config.as_of), "activity_date")
     n = config.recent_days
     recent, before = F.col("age").between(0, n - 1), F.col("age").between(n, 2 * n - 1)
-    acts = activities.select("sport", "distance_km", "moving_h", age.alias("age")).filter("age >= 0")
-    of = lambda when, c: F.round(F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0.0)), 1)
+    acts = activities.select("sport", "activity_date", "distance_km", "moving_h", age.alias("age"))
+    of = lambda when, c: F.round(F.sum(F.when(when, F.col(c))), 1)  # noqa: E731  NULL where there is none
     return F.broadcast(scaffold).join(acts, "sport", "left").groupBy("sport").agg(
-        of(recent, "distance_km").alias("recent_km"), of(before, "distance_km").alias("previous_km"), of(recent, "moving_h").alias("recent_h"), of(before, "moving_h").alias("previous_h"),
-        F.count_if(recent).alias("recent_n"), F.count_if(before).alias("previous_n"), F.round(F.max(F.when(recent, F.col("distance_km"))), 1).alias("recent_longest_km"), F.min("age").alias("days_since"),
+        F.lit(config.as_of).alias("today"), F.max("activity_date").alias("last_date"), F.min("age").alias("days_since"), of(recent, "distance_km").alias("recent_km"), of(before, "distance_km").alias("previous_km"),
+        of(recent, "moving_h").alias("recent_h"), of(before, "moving_h").alias("previous_h"), F.count_if(recent).alias("recent_n"), F.count_if(before).alias("previous_n"), F.round(F.max(F.when(recent, F.col("distance_km"))), 1).alias("recent_longest_km"),
     )
 
 
-def mart_symptom_ride(activities: DataFrame, symptoms: DataFrame, changes: DataFrame, power: DataFrame, load: DataFrame, bike: Column, areas: Sequence[str] = ("knee", "back", "hand", "neck")) -> DataFrame:
-    """Rides with load, symptoms by area (not recorded stays NULL) and the setup of the day: the latest change of the bike or of the shoes."""
-    rides = activities.filter("sport = 'cycling'").withColumn("bike", bike)
+#: What the symptom log calls areas and sides, by measure: area (a prefix where it ends in '-'), sides, and the value taken.
+MEASURES = {
+    "knee_medial_l": ("무릎내측", ("좌", "양"), "severity"),
+    "knee_medial_l_next": ("무릎내측", ("좌", "양"), "next_day"),
+    "saddle": ("안장", (), "severity"),
+    "hand_numb": ("손저림", (), "severity"),
+    "triceps_shoulder": ("삼두어깨", (), "severity"),
+    "low_back": ("허리", (), "severity"),
+    "cramp": ("경련-", (), "severity"),
+}
+#: Fixed value: the setup that all bikes share, as the log of changes calls it.
+SHOES = "신발"
+
+
+def mart_symptom_ride(activities: DataFrame, symptoms: DataFrame, changes: DataFrame, power: DataFrame, load: DataFrame, bike: Column, shared: str = SHOES, measures: Mapping[str, tuple] = MEASURES) -> DataFrame:
+    """Rides since the first day of the symptom log, with load, symptoms by measure (not recorded stays NULL) and the setup of the day: the latest change
+    of the bike or of what all bikes share."""
+    since_first = F.broadcast(symptoms.agg(F.min("symptom_date").alias("_first")))
+    rides = activities.filter("sport = 'cycling' and distance_km > 0").crossJoin(since_first).filter("activity_date >= _first").drop("_first").withColumn("bike", bike)
     own = rides.select("activity_id", "activity_date", "bike")
     # One row for each target that a ride answers to; then an equality and a range, and the latest date.
-    targets = own.withColumn("target", F.explode(F.array(F.col("bike"), F.lit("shoes"))))
+    targets = own.withColumn("target", F.explode(F.array(F.col("bike"), F.lit(shared))))
     since = targets.join(changes.select("target", "effective_date"), "target").filter("effective_date <= activity_date").groupBy("activity_id").agg(F.max("effective_date").alias("setup_since"))
-    linked = symptoms.filter("activity_id is not null")
-    felt = linked.groupBy("activity_id").agg(
-        *[F.max(F.when(F.col("area") == a, F.col("severity"))).alias(f"{a}_severity") for a in areas], F.max("severity").alias("worst"),
-        F.array_join(F.array_sort(F.array_distinct(F.collect_list("area"))), ", ").alias("areas"), F.max("next_day").alias("next_day"),
+
+    def measure(area: str, sides: Sequence[str], value: str) -> Column:
+        there = F.col("area").startswith(area) if area.endswith("-") else F.col("area") == area
+        return F.max(F.when(there & F.col("side").isin(*sides) if sides else there, F.col(value)))
+
+    felt = symptoms.filter("activity_id is not null").groupBy("activity_id").agg(
+        F.count(F.lit(1)).alias("symptoms"), *[measure(*m).alias(name) for name, m in measures.items()],
+        F.nullif(F.array_join(F.array_sort(F.collect_set("confounders")), " / "), F.lit("")).alias("confounders"),
     )
     out = rides.join(power.select("activity_id", "np", "intensity", "tss"), "activity_id", "left").join(load.drop("ftp_anchor"), "activity_id", "left").join(felt, "activity_id", "left").join(since, "activity_id", "left")
-    return out.withColumns({"grind_min": F.round(F.col("grind_s") / 60, 1), "climb_min": F.round(F.col("climb_s") / 60, 1), "grind_pct": F.round(100 * per(F.col("grind_s"), F.col("moving_time")), 1), "recorded": F.col("worst").isNotNull()})
+    return out.withColumns({
+        "moving_min": F.round(F.col("moving_time") / 60, 1), "grind_min": F.round(F.col("grind_s") / 60, 1),
+        "grind_min_per_h": F.round(F.col("grind_s") / (F.nullif(F.col("moving_time"), F.lit(0)) / 3600) / 60, 1), "symptoms": F.coalesce("symptoms", F.lit(0)),
+    })
 
 
-def mart_fitting_epochs(rides: DataFrame, changes: DataFrame) -> DataFrame:
-    """Rides between setup changes; before the first change is the baseline, whose date stays NULL."""
-    labels = changes.groupBy("effective_date").agg(F.array_join(F.array_sort(F.collect_list("change_label")), " · ").alias("changes"))
-    joined = rides.join(labels, F.col("setup_since") == F.col("effective_date"), "left")
-    return joined.groupBy("bike", "setup_since").agg(
-        F.max(F.coalesce("changes", F.lit("baseline"))).alias("changes"), F.count(F.lit(1)).alias("rides"), F.round(F.sum("distance_km"), 1).alias("distance_km"), F.round(F.sum("moving_h"), 1).alias("moving_h"),
-        F.count("worst").alias("recorded"), F.round(F.avg("worst"), 2).alias("mean_worst"), F.max("worst").alias("worst"), F.round(F.avg("grind_pct"), 1).alias("grind_pct"), F.min("activity_date").alias("first_ride"), F.max("activity_date").alias("last_ride"),
+def mart_fitting_epochs(rides: DataFrame, changes: DataFrame, bike: str, shared: str = SHOES, measure: str = "knee_medial_l") -> DataFrame:
+    """Rides of one bike between setup changes of it or of what all bikes share; before the first change is the baseline, whose date stays NULL."""
+    labels = changes.filter(F.col("target").isin(bike, shared)).groupBy("effective_date").agg(F.count(F.lit(1)).alias("n_changes"), F.array_join(F.array_sort(F.collect_list("change_label")), ", ").alias("changes"))
+    joined = rides.filter(F.col("bike") == bike).join(labels, F.col("setup_since") == F.col("effective_date"), "left")
+    m = F.col(measure)
+    return joined.groupBy(F.coalesce(F.col("setup_since").cast("string"), F.lit("baseline")).alias("epoch"), F.col("setup_since").alias("epoch_start"), "changes", "n_changes").agg(
+        F.min("activity_date").alias("first_ride"), F.max("activity_date").alias("last_ride"), F.count(F.lit(1)).alias("rides"), F.round(F.sum("distance_km"), 1).alias("distance_km"),
+        F.count(m).alias("knee_rides"), F.round(F.avg(m), 1).alias("knee_avg"), F.max(m).alias("knee_max"), F.count_if(m >= 4).alias("knee_ge4_rides"),
+        F.round(F.avg("grind_min_per_h"), 1).alias("grind_min_per_h_avg"), F.round(F.avg("climb_cadence"), 1).alias("climb_cadence_avg"), F.round(F.avg("intensity"), 2).alias("if_avg"),
     )

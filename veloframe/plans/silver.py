@@ -13,7 +13,7 @@ from veloframe.operators.series import sessions
 
 POINT_COLUMNS = (
     "activity_id", "point_idx", "source", "point_ts", "time_offset_s", "lat", "lon", "ele_m", "distance_m", "speed_ms", "grade_pct",
-    "heartrate", "cadence", "watts", "temp_c", "moving", "sport", "is_duplicate", "year",
+    "heartrate", "cadence", "watts", "temp_c", "moving", "sport", "gear_label", "is_indoor", "is_duplicate", "year",
 )
 
 
@@ -23,10 +23,13 @@ def prefer(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def activities(bronze: DataFrame, gears: Mapping[str, str], config: Config = Config(), athlete: Sequence[str] = (), compat: bool = False) -> DataFrame:
-    """Sport, gear label, units, flags and overlap groups; activities without distance stay out of the groups."""
+    """Sport, gear label, units, flags and overlap groups; activities without distance stay out of the groups.
+
+    Days, months and years are those of the athlete's calendar (``start_date_key``), not of UTC.
+    """
     out = bronze.withColumns({
         "sport": one_of(F.col("type"), config.sports, config.other_sport), "gear_label": label_from(F.col("gear_id"), gears, config.unassigned),
-        "year": F.year("start_ts_utc"), "month": F.date_format("start_ts_utc", "yyyy-MM"), "activity_date": F.to_date("start_ts_utc"),
+        "year": F.year("start_date_key"), "month": F.date_format("start_date_key", "yyyy-MM"), "activity_date": F.col("start_date_key"),
         "distance_km": F.col("distance") / 1000, "moving_h": F.col("moving_time") / 3600, "elapsed_h": F.col("elapsed_time") / 3600,
         "average_kmh": F.col("average_speed") * 3.6, "max_kmh": F.col("max_speed") * 3.6, "elev_m": F.coalesce("total_elevation_gain", F.lit(0.0)),
         "is_indoor": F.coalesce("trainer", F.lit(False)) | F.coalesce(F.col("type") == "VirtualRide", F.lit(False)), "has_gps": F.col("start_lat").isNotNull(),
@@ -38,7 +41,7 @@ def activities(bronze: DataFrame, gears: Mapping[str, str], config: Config = Con
 
 def trackpoints(streams: DataFrame, gpx: DataFrame, acts: DataFrame) -> DataFrame:
     """One time series an activity: sensor streams where there are any, GPX points else; hand-dropped GPX files not at all."""
-    context = acts.select("activity_id", "start_ts_utc", "sport", "is_duplicate")
+    context = acts.select("activity_id", "start_ts_utc", "sport", "gear_label", "is_indoor", "is_duplicate")
     a = streams.join(context, "activity_id").withColumns({"source": F.lit("stream"), "point_ts": F.expr("start_ts_utc + make_interval(0, 0, 0, 0, 0, 0, time_offset_s)")})
     b = gpx.filter("origin <> 'manual_drop'").withColumns({"source": F.lit("gpx")}).join(context, "activity_id")
     b = b.withColumn("time_offset_s", F.unix_seconds("point_ts") - F.unix_seconds("start_ts_utc"))
@@ -55,19 +58,18 @@ def _context(acts: DataFrame) -> DataFrame:
 
 
 def laps(bronze: DataFrame, acts: DataFrame) -> DataFrame:
-    """Laps with units and pace; swims by 100 m, others by the kilometre."""
-    out = bronze.join(_context(acts), "activity_id")
-    pace = per(F.col("moving_time"), F.col("distance"))
-    return out.withColumns({
-        "distance_km": F.col("distance") / 1000, "average_kmh": F.col("average_speed") * 3.6,
-        "pace_s_per_km": F.when(F.col("sport") != "swimming", pace * 1000), "pace_s_per_100m": F.when(F.col("sport") == "swimming", pace * 100),
-    })
+    """Laps with units and pace, which comes from the mean speed."""
+    return _paced(bronze.join(_context(acts), "activity_id")).withColumn("distance_km", F.col("distance") / 1000)
+
+
+def _paced(df: DataFrame) -> DataFrame:
+    speed = F.col("average_speed")
+    return df.withColumns({"average_kmh": speed * 3.6, "pace_s_per_km": per(F.lit(1000.0), speed), "pace_s_per_100m": per(F.lit(100.0), speed)})
 
 
 def splits(bronze: DataFrame, acts: DataFrame) -> DataFrame:
     """Kilometre splits with pace and climbing rate."""
-    out = bronze.join(_context(acts), "activity_id")
-    return out.withColumns({
-        "pace_s_per_km": per(F.col("moving_time"), F.col("distance")) * 1000, "climb_m_per_km": per(F.col("elevation_difference"), F.col("distance")) * 1000,
+    return _paced(bronze.join(_context(acts), "activity_id")).withColumns({
+        "climb_m_per_km": per(F.col("elevation_difference"), F.col("distance")) * 1000,
         "is_partial": F.col("distance") < 950,
     })
