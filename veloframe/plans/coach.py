@@ -123,3 +123,9 @@ def next_state(state: DataFrame, now: str, most: int = 5) -> DataFrame:
 def recovered(state: DataFrame) -> DataFrame:
     """After a crash: work that was under way waits again; a delivery that was under way is unknown and never sent again by itself."""
     return state.withColumn("state", F.when(F.col("state") == "analyzing", "pending").when(F.col("state") == "sending", "unknown").otherwise(F.col("state")))
+
+
+def state_counts(jobs: DataFrame, states: Sequence[str]) -> DataFrame:
+    """state, n and latest (``changed_at``) for every one of ``states``, 0 and NULL where no job is in it."""
+    every = jobs.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, states))).alias("state"))
+    return F.broadcast(every).join(jobs.select("state", "changed_at"), "state", "left").groupBy("state").agg(F.count("changed_at").alias("n"), F.max("changed_at").alias("latest"))
