@@ -7,6 +7,7 @@ lineage is cut, and a lost executor costs at most the tasks it was running.
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,9 +21,11 @@ STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession, own: dict = {}) -> str:  # noqa: B006  one folder for each application
-    """The cluster's checkpoint folder; only where none is set (tests), one of our own."""
+    """The cluster's checkpoint folder; only where none is set and all runs in this process (tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         name = spark.sparkContext.applicationId
         found = own.get(name) or own.setdefault(name, tempfile.mkdtemp(prefix="veloframe-"))
     return found
@@ -76,8 +79,6 @@ def steps(offsets: np.ndarray, limit: int = STEP_BYTES) -> Iterator[tuple[int, i
 
 def class_table(excluded: str) -> np.ndarray:
     """Which byte values belong to words, from the complement of a regular-expression class of bytes."""
-    import re
-
     odd = re.compile(f"[{excluded}]".encode("latin-1"))
     return np.array([odd.match(bytes([b])) is None for b in range(256)])
 

@@ -13,6 +13,7 @@ the empty string; an empty benchmark hits nothing; an empty table gives no rows;
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,37 +98,33 @@ class Items:
         return spans, found
 
 
-def _shards(items: list[tuple[str, np.ndarray]], limit: int) -> list[list[tuple[str, np.ndarray]]]:
-    out, size = [[]], 0
-    for item in items:
-        if out[-1] and size + len(item[1]) > limit:
-            out.append([])
-            size = 0
-        out[-1].append(item)
-        size += len(item[1])
-    return out
+def _shards(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, np.ndarray]]]:
+    """Items (id, word hashes) in shards of about ``limit`` words; one shard at a time is on the driver. The last may be empty."""
+    out, size = [], 0
+    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").toLocalIterator():
+        words = Words(*byte_column(pa.array([row.text], pa.string())), PLAIN, True).hash
+        if out and size + len(words) > limit:
+            yield out
+            out, size = [], 0
+        if len(words):
+            out.append((row.item_id, words))
+            size += len(words)
+    yield out
 
 
 def _built(key: str, shard: list, window: int, made: dict = {}) -> Items:  # noqa: B006  few for each process
     if key not in made:
-        if len(made) > 3:
+        if len(made) > 1:
             made.clear()
         made[key] = Items(shard, window)
     return made[key]
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 400_000) -> DataFrame:
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 100_000) -> DataFrame:
     """``docs`` (text and others) with n_words, hit_spans (ranges of words and of bytes, ascending, apart) and hit_items (sorted ids)."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").toLocalIterator()
-    items: list[tuple[str, np.ndarray]] = []
-    for row in rows:  # one item at a time; the automata that are broadcast have a bounded size each
-        data, offsets = byte_column(pa.array([row.text], pa.string()))
-        words = Words(data, offsets, PLAIN, True).hash
-        if len(words):
-            items.append((row.item_id, words))
     out = docs.drop("n_words", "hit_spans", "hit_items")
     context = docs.sparkSession.sparkContext
-    for k, shard in enumerate(_shards(items, shard_words)):
+    for k, shard in enumerate(_shards(benchmark, shard_words)):
         key = hashlib.sha1(repr([(i, w.tobytes()) for i, w in shard]).encode()).hexdigest() + f"/{window}"
         sent = context.broadcast(shard)
 
