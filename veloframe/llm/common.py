@@ -6,6 +6,8 @@ lineage is cut, and a lost executor costs at most the tasks it was running.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 import tempfile
@@ -17,7 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step handles; a single longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
+
+
+def _frugal() -> None:
+    """Large arrays go back to the system when they are freed, so that a worker between tasks does not keep its peak (where the C library can be told)."""
+    with contextlib.suppress(OSError, AttributeError):
+        tell = ctypes.CDLL(None).mallopt
+        tell(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        tell(-1, 8 << 20)  # M_TRIM_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_frugal()
 
 
 def shared_dir(spark: SparkSession, own: dict = {}) -> str:  # noqa: B006  one folder for each application
@@ -93,7 +107,7 @@ _MASK = (1 << 64) - 1
 
 def _powers(n: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  one table for each process
     if len(cache.get("p", ())) < n:
-        size = max(n, 2 * STEP_BYTES)
+        size = max(n, STEP_BYTES + (1 << 16))
         inverse = pow(_ODD, -1, 1 << 64)
         for key, base in (("p", _ODD), ("i", inverse)):
             out = np.full(size, base, np.uint64)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from veloframe.llm.common import release, staged
 
 #: Entries of a buffer; groups that one step deals to; bytes of text for each range and block.
-BUFFER, FAN, RANGE_BYTES, BLOCK_BYTES = 1 << 20, 1 << 10, 4e6, 8e6
+BUFFER, FAN, RANGE_BYTES, BLOCK_BYTES = 1 << 19, 1 << 10, 4e6, 8e6
 ROW = "place long, raw binary"
 
 
