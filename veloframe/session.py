@@ -13,7 +13,7 @@ ROOT = Path(__file__).resolve().parent.parent
 
 
 #: Bytes of an Arrow batch between the JVM and a Python worker, where the session sets none (then it is 64 MB): both sides hold several at a time.
-BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
