@@ -83,3 +83,11 @@ def test_windows_share_one_exchange(spark):
     df = spark.range(10).select(F.col("id").alias("k"), F.timestamp_seconds("id").alias("t"), F.lit(1.0).alias("v")).repartition(3)
     plan = series.best_means(df, "k", "t", "v", [(4, 4), (8, 8), (12, 12)])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Window") <= 1
+
+
+def test_disjoint_intervals_with_missing_ends(spark):
+    made = [(None, 0, 5), (None, 4, 9), (None, 5, 6), (1, None, 3), (1, 3, 4), (1, 4, 4), (1, 4, 9), (2, 1, None), (2, 7, 8), (3, 1, 2), (3, 1, 2), (3, 2, 2)]
+    df = spark.createDataFrame(made, "k int, s int, e int").repartition(5)
+    want = [(None, 0, 5), (None, 5, 6), (1, None, 3), (1, 3, 4), (1, 4, 4), (1, 4, 9), (2, 1, None), (3, 1, 2), (3, 2, 2)]
+    assert sorted(map(tuple, series.greedy_disjoint(df, ["k"], "s", "e").collect()), key=repr) == sorted(want, key=repr)
+    assert series.greedy_disjoint(df.limit(0), ["k"], "s", "e").count() == 0

@@ -1,6 +1,6 @@
 import pytest
 
-from veloframe.store import Store
+from veloframe.store import Conflict, Store
 
 
 @pytest.fixture
@@ -47,3 +47,47 @@ def test_audit(spark, store):
     assert quality.reconciled(store.read("audit/ingest_runs")).count() == 0
     store.audit("bronze/x", "file", a, a.limit(1), "2024-01-03 00:00:00")
     assert [r.loaded_count for r in quality.reconciled(store.read("audit/ingest_runs")).collect()] == [1]
+
+
+def test_append_writes_new_rows_alone(spark, store):
+    store.replace("t", spark.createDataFrame([(1, "a", "x")], "id int, v string, day string"), partition_by=["day"])
+    before = {r.path for r in store.files("t").select("path").collect()}
+    store.append("t", spark.createDataFrame([(2, "b", "y", 9)], "id int, v string, day string, extra int"), partition_by=["day"])
+    assert before < {r.path for r in store.files("t").select("path").collect()}
+    assert {(r.id, r.v, r.day, r.extra) for r in store.read("t").collect()} == {(1, "a", "x", None), (2, "b", "y", 9)}
+    store.append("t", spark.createDataFrame([(2**40, "c", "y")], "id long, v string, day string"), partition_by=["day"])
+    assert store.read("t").schema["id"].dataType.typeName() == "long" and store.read("t").count() == 3
+    assert store.read("t", 1).count() == 1
+    store.append("t", spark.createDataFrame([], "id long, v string, day string"), partition_by=["day"])
+    assert store.read("t").count() == 3
+
+
+def test_writers_conflict_and_cut_off_entries(spark, store, tmp_path):
+    a, b = (spark.createDataFrame([(i,)], "id int") for i in (1, 2))
+    store.replace("t", a)
+    seen = store._log("t")
+    store.append("t", b)
+    with pytest.raises(Conflict):
+        store._replace("t", a, (), "replace", seen)
+    assert rows(store.read("t")) == [(1,), (2,)]
+    (tmp_path / "t" / "_log" / "3").write_text('{"what": "repl')
+    assert store.version("t") == 2
+    assert store.append("t", b) == 4 and rows(store.read("t")) == [(1,), (2,), (2,)]
+    store.rollback("t", 1)
+    assert store.append("t", b) == 6 and rows(store.read("t")) == [(1,), (2,)]
+
+
+def test_append_goes_on_top_of_another_writers(spark, store, monkeypatch):
+    one = spark.createDataFrame([(1,)], "id int")
+    store.replace("t", one)
+    commit, tries = store._commit, []
+
+    def late(table, n, entry):
+        tries.append(n)
+        if len(tries) == 1:
+            Store(store.spark, store.root).append(table, one)
+        return commit(table, n, entry)
+
+    monkeypatch.setattr(store, "_commit", late)
+    store.append("t", one)
+    assert tries == [2, 3] and store.read("t").count() == 3

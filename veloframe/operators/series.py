@@ -5,8 +5,9 @@ All windows of one call share partitioning and order, so they plan as one exchan
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,13 +144,28 @@ def halves(df: DataFrame, keys: Sequence[str], t: str, value: str, gap: float) -
 
 
 def greedy_disjoint(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Intervals by (start, end), each kept if it starts no earlier than the last kept one's end. A fold over each key's sorted array."""
-    sorted_ = F.sort_array(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e"))))
-    fold = F.aggregate(
-        sorted_, F.slice(sorted_, 1, 0),
-        lambda kept, x: F.when((F.size(kept) == 0) | (x["s"] >= F.get(kept, F.size(kept) - 1)["e"]), F.array_append(kept, x)).otherwise(kept),
-    )
-    return df.groupBy(*keys).agg(fold.alias("_k")).select(*keys, F.inline("_k")).withColumnsRenamed({"s": start, "e": end})
+    """Intervals by (start, end), each kept if it starts no earlier than the last kept one's end.
+
+    Sorted rows stream past the last kept end of their key, so no key has to fit in memory. Of a key's rows those without a start come first; one without start or end
+    is kept only if it is the first, and after a kept one without end no other is.
+    """
+    rows = df.select(*keys, start, end)
+    sorted_ = rows.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_first(start), F.asc_nulls_first(end))
+    n = len(keys)
+
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = until = None
+        begun = False
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            kept = []
+            for i, (own, s, e) in enumerate(zip(zip(*columns[:n], strict=True), columns[n], columns[n + 1], strict=True)):
+                if not begun or own != key or (s is not None and until is not None and s >= until):
+                    kept.append(i)
+                    begun, key, until = True, own, e
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return sorted_.mapInArrow(streamed, rows.schema)
 
 
 def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 3) -> DataFrame:
