@@ -99,8 +99,18 @@ def split_stats(splits: DataFrame, key: str) -> DataFrame:
 BUNDLE_FIELDS = ("activity_id", "sport", "type", "name", "start_local", "distance_km", "moving_time", "elapsed_time", "is_indoor", "average_speed", "average_heartrate", "np", "intensity", "tss")
 
 
-def bundles(targets: DataFrame, history: DataFrame, since: str, days: int = 28, most: int = 200) -> DataFrame:
-    """activity_id and bundle (JSON) of each activity from ``since`` on: its allowed fields, and the activities of the strict ``days`` before, newest first."""
+def export_rows(feed: DataFrame, silver: DataFrame, bronze: DataFrame, power: DataFrame, ftp_log: DataFrame, durability: DataFrame, since: str, sports: Sequence[str] = ("cycling", "running", "swimming")) -> DataFrame:
+    """What bundles are made from: activities of ``sports`` from ``since`` on that are no duplicates, with device and raw text, the threshold's date (NULL without power) and whether power dropped out."""
+    own = silver.filter(~F.col("is_duplicate")).select("activity_id", "elapsed_time", "max_speed", "max_heartrate", "device_name", "device_watts")
+    dated = ftp_log.filter("is_current").groupBy(F.col("ftp_watts").cast("double").alias("ftp")).agg(F.max("effective_date").alias("ftp_date"))
+    rows = feed.filter(F.col("sport").isin(*sports) & (F.col("activity_date") >= F.lit(since).cast("date")))
+    joined = rows.join(own, "activity_id").join(bronze.select("activity_id", "_raw"), "activity_id")
+    joined = joined.join(power.select("activity_id", "ftp"), "activity_id", "left").join(dated, "ftp", "left")
+    return joined.join(durability.select("activity_id", F.col("dropout").alias("power_dropout")), "activity_id", "left")
+
+
+def bundles(targets: DataFrame, history: DataFrame, since: str, days: int = 28, most: int = 200, run: str | None = None) -> DataFrame:
+    """activity_id and bundle (JSON) of each activity from ``since`` on: its allowed fields, and the activities of the strict ``days`` before, newest first; and the run's name."""
     fields = [c for c in BUNDLE_FIELDS if c in targets.columns]
     prior = history.select(F.col("activity_id").alias("_id"), F.col("activity_date").alias("_day"), F.struct(*[c for c in fields if c in history.columns]).alias("_row"))
     new = targets.filter(F.col("activity_date") >= F.lit(since).cast("date"))
@@ -109,7 +119,8 @@ def bundles(targets: DataFrame, history: DataFrame, since: str, days: int = 28,
     spread = new.select("activity_id", "activity_date", F.explode(F.transform(F.sequence(F.lit(1), F.lit(days)), lambda k: F.date_sub("activity_date", k))).alias("_day"))
     found = spread.join(prior, "_day").withColumn("_age", age)
     context = found.groupBy("activity_id").agg(F.slice(F.transform(F.sort_array(F.collect_list(F.struct("_day", "_id", "_row")), asc=False), lambda x: x["_row"]), 1, most).alias("context"))
-    body = F.to_json(F.struct(F.lit(1).alias("version"), F.struct(*fields).alias("activity"), F.coalesce("context", F.array().cast(context.schema["context"].dataType)).alias("context")))
+    named = [F.lit(run).alias("run")] if run else []
+    body = F.to_json(F.struct(F.lit(1).alias("version"), *named, F.struct(*fields).alias("activity"), F.coalesce("context", F.array().cast(context.schema["context"].dataType)).alias("context")))
     return new.join(context, "activity_id", "left").select("activity_id", body.alias("bundle"))
 
 
@@ -125,6 +136,44 @@ def recovered(state: DataFrame) -> DataFrame:
     return state.withColumn("state", F.when(F.col("state") == "analyzing", "pending").when(F.col("state") == "sending", "unknown").otherwise(F.col("state")))
 
 
+def alerts_due(jobs: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Jobs that had a failed try and of which nobody was told yet: one alert a job, however often it fails."""
+    return jobs.filter("tries > 0 and state <> 'done'").select("activity_id").distinct().join(alerts.select("activity_id"), "activity_id", "left_anti")
+
+
+def opened(analyses: DataFrame, notify: bool = True) -> DataFrame:
+    """Deliveries of new analyses: pending, or suppressed for good."""
+    return analyses.select("activity_id", F.lit("pending" if notify else "suppressed").alias("state"), F.lit(None).cast("string").alias("error"))
+
+
+def next_delivery(deliveries: DataFrame, analyses: DataFrame) -> DataFrame:
+    """The pending delivery of the earliest activity; at most one row."""
+    due = deliveries.filter("state = 'pending'").select("activity_id")
+    return analyses.join(due, "activity_id", "left_semi").orderBy("activity_date", "activity_id").limit(1)
+
+
+def sending(deliveries: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Deliveries with ``chosen`` (activity_id) under way; only what is pending can be."""
+    mark = chosen.select("activity_id").distinct().withColumn("_chosen", F.lit(True))
+    return deliveries.join(mark, "activity_id", "left").withColumn("state", F.when(F.col("_chosen") & (F.col("state") == "pending"), "sending").otherwise(F.col("state"))).drop("_chosen")
+
+
+def delivered(deliveries: DataFrame, replies: DataFrame) -> DataFrame:
+    """Deliveries under way, after their replies (activity_id, status): sent; failed where the receiver said no; unknown where it may have taken the message (a server's error, a redirect, no reply)."""
+    code = F.col("_code")
+    state = F.when(code.between(200, 299), "sent").when(code.between(400, 499), "failed").otherwise("unknown")
+    out = deliveries.join(replies.select("activity_id", F.col("status").alias("_code"), F.lit(True).alias("_reply")), "activity_id", "left")
+    now = F.col("_reply") & (F.col("state") == "sending")
+    return out.withColumns({"state": F.when(now, state).otherwise(F.col("state")), "error": F.when(now, F.when(state != "sent", F.concat(F.lit("status "), F.coalesce(code.cast("string"), F.lit("unknown"))))).otherwise(F.col("error"))}).drop("_code", "_reply")
+
+
+def sent_again(deliveries: DataFrame, asked: DataFrame) -> DataFrame:
+    """Failed and unknown deliveries wait again where a person asked for it (activity_id); nothing else sends them again."""
+    mark = asked.select("activity_id").distinct().withColumn("_asked", F.lit(True))
+    again = F.coalesce("_asked", F.lit(False)) & F.col("state").isin("unknown", "failed")
+    return deliveries.join(mark, "activity_id", "left").withColumns({"state": F.when(again, "pending").otherwise(F.col("state")), "error": F.when(~again, F.col("error"))}).drop("_asked")
+
+
 def state_counts(jobs: DataFrame, states: Sequence[str]) -> DataFrame:
     """state, n and latest (``changed_at``) for every one of ``states``, 0 and NULL where no job is in it."""
     every = jobs.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, states))).alias("state"))

@@ -95,15 +95,23 @@ SERVICE_FIELDS = {
 SERVICE_WORDS = ("훈련상태", "R파워")
 
 
-def stg_service_notes(activities: DataFrame, service: str | None = None) -> DataFrame:
-    """Numbers that a service wrote into descriptions, and the threshold power that they imply: where its words stand, or its name (``service``, in any case)."""
-    text = F.col("description")
+def has_service_text(text: Column, service: str | None = None) -> Column:
+    """Whether a service wrote into a description: all its words stand there, or its name (in any case)."""
     its = F.lit(True)
     for word in SERVICE_WORDS:
         its = its & text.contains(word)
-    if service:
-        its = its | F.lower(text).contains(service.lower())
-    out = activities.filter(its)
+    return its | F.lower(text).contains(service.lower()) if service else its
+
+
+def awaiting_service(activities: DataFrame, service: str | None = None) -> DataFrame:
+    """Rides in whose description the service has not written yet; it writes into rides alone."""
+    return activities.filter((F.col("sport") == "cycling") & ~F.coalesce(has_service_text(F.col("description"), service), F.lit(False)))
+
+
+def stg_service_notes(activities: DataFrame, service: str | None = None) -> DataFrame:
+    """Numbers that a service wrote into descriptions, and the threshold power that they imply."""
+    text = F.col("description")
+    out = activities.filter(has_service_text(text, service))
     for name, (pattern, group, kind) in SERVICE_FIELDS.items():
         out = out.withColumn(name, F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).try_cast(kind))
     return out.withColumn("implied_ftp", F.round(per(F.col("r_power"), F.col("intensity"))).cast("int"))

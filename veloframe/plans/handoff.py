@@ -113,3 +113,33 @@ def notice(analysis: DataFrame, most: int = 1900) -> DataFrame:
 def stacked(catalog: DataFrame, legacy: DataFrame, keys: Sequence[str] = ("activity_id",)) -> DataFrame:
     """The catalog, and of older rows those that it lacks."""
     return catalog.unionByName(legacy.join(catalog.select(*keys), list(keys), "left_anti"), allowMissingColumns=True)
+
+
+def migrated(analyses: DataFrame, legacy: DataFrame) -> DataFrame:
+    """The analyses, and of the older ones those that they lack, as swims (the only sport that was analysed then)."""
+    older = legacy.withColumn("sport", F.lit("swimming")).join(analyses.select("activity_id"), "activity_id", "left_anti")
+    return analyses.unionByName(older, allowMissingColumns=True)
+
+
+def migration_faults(legacy: DataFrame, analyses: DataFrame) -> DataFrame:
+    """activity_id and fault: older analyses that are missing, or whose text or owner is another now. None means that the migration is whole."""
+    now = analyses.select("activity_id", F.col("analysis").alias("_text"), F.col("athlete_id").alias("_owner"), F.lit(True).alias("_there"))
+    fault = F.when(F.col("_there").isNull(), "missing").when(~F.col("analysis").eqNullSafe(F.col("_text")), "text").when(~F.col("athlete_id").eqNullSafe(F.col("_owner")), "owner")
+    return legacy.join(now, "activity_id", "left").select("activity_id", fault.alias("fault")).filter("fault is not null")
+
+
+def preview(files: DataFrame, run: str | None = None) -> DataFrame:
+    """``files`` (file, bundle) as the receiver would take them: file, activity_id, sport, status and fault (NULL: none). Nothing is sent and no model is called.
+
+    A file bears its activity's number, its bundle keeps the contract and belongs to the ``run``; an activity that comes twice is queued once.
+    """
+    b = F.from_json("bundle", BUNDLE)
+    own = files.select("file", "bundle", b["activity"]["activity_id"].alias("activity_id"), b["activity"]["sport"].alias("sport"), F.get_json_object("bundle", "$.run").alias("_run"))
+    named = F.regexp_extract("file", r"(?:^|/)([0-9]+)\.json$", 1).try_cast("long")
+    broken = violations(own.select(F.col("file").alias("activity_id"), "bundle")).select(F.col("activity_id").alias("file"), F.element_at("broken", 1).alias("_rule"))
+    other = F.lit(False) if run is None else ~F.col("_run").eqNullSafe(F.lit(run))
+    first = F.row_number().over(Window.partitionBy("activity_id").orderBy("file")) == 1
+    out = own.join(broken.distinct(), "file", "left")
+    fault = F.coalesce("_rule", F.when(~named.eqNullSafe(F.col("activity_id")), "file name"), F.when(other, "another run"))
+    status = F.when(F.col("fault").isNull(), F.when(first, "queued").otherwise("already_queued"))
+    return out.withColumn("fault", fault).withColumn("status", status).select("file", "activity_id", "sport", "status", "fault")

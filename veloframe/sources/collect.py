@@ -27,6 +27,18 @@ class DailyLimit(Exception):
     """The service's calls of the day are used up."""
 
 
+class Refused(LookupError):
+    """A reply of status 400 or above."""
+
+    def __init__(self, path: str, status: int):
+        super().__init__(f"{path}: status {status}")
+        self.status = status
+
+
+class Maintenance(Refused):
+    """The service is down for maintenance: a run is skipped, it has not failed."""
+
+
 @dataclass
 class Client:
     """GET with a token that is renewed before it ends, a pace that fits the service's two limits, and one retry after a 429.
@@ -58,7 +70,8 @@ class Client:
                 self.sleep(self.short_window_s - self.now() % self.short_window_s + 1)
                 continue
             if reply.status >= 400:
-                raise LookupError(f"{path}: status {reply.status}")
+                resting = reply.status == 503 and "Maintenance" in str(reply.body)
+                raise (Maintenance if resting else Refused)(path, reply.status)
             self._pace()
             return reply.body
         raise AssertionError
@@ -94,9 +107,16 @@ def to_fetch(wanted: DataFrame, *done: DataFrame, key: str = "activity_id") -> D
     return wanted
 
 
-def worth_streams(activities: DataFrame) -> DataFrame:
-    """Activities with power or a place."""
-    return activities.filter(F.coalesce("device_watts", F.lit(False)) | F.col("start_lat").isNotNull())
+def worth_streams(activities: DataFrame, places: bool = True) -> DataFrame:
+    """Dated activities with power, or (``places``) with a place."""
+    worth = F.col("average_watts").isNotNull()
+    return activities.filter(F.col("start_date_key").isNotNull() & (worth | F.col("start_lat").isNotNull() if places else worth))
+
+
+def stream_todo(activities: DataFrame, stored: DataFrame, ledger: DataFrame, places: bool = True) -> DataFrame:
+    """Activities whose streams are worth a call: not ``stored`` (activity_id), and not known to the ``ledger`` (activity_id, status) as done, missing or empty."""
+    known = ledger.filter(F.col("status").isin("done", "missing", "empty"))
+    return to_fetch(worth_streams(activities, places), stored, known)
 
 
 def changed(now: DataFrame, seen: DataFrame, columns: list[str], key: str = "id", since: dt.date | None = None, date: str = "date") -> DataFrame:
@@ -106,6 +126,16 @@ def changed(now: DataFrame, seen: DataFrame, columns: list[str], key: str = "id"
     return now.withColumn("fingerprint", fingerprint(*[F.col(c) for c in columns])).join(seen.select(key, "fingerprint"), [key, "fingerprint"], "left_anti")
 
 
+def second_service_todo(now: DataFrame, seen: DataFrame, upgraded: DataFrame, columns: list[str], since: dt.date, swims: tuple[str, ...] = ("Swim", "OpenWaterSwim")) -> DataFrame:
+    """``now`` (id, type, date, ...) from ``since`` on: rows whose content is new (``seen``: id, fingerprint), and swims whose detail was never fetched (``upgraded``: id)."""
+    known = seen.select("id", "fingerprint").distinct().withColumn("_seen", F.lit(True))
+    detailed = upgraded.select("id").distinct().withColumn("_detailed", F.lit(True))
+    own = now.filter(F.col("date") >= F.lit(since)).withColumn("fingerprint", fingerprint(*[F.col(c) for c in columns]))
+    swim = F.coalesce(F.col("type").isin(*swims), F.lit(False))
+    both = own.join(known, ["id", "fingerprint"], "left").join(detailed, "id", "left")
+    return both.filter(F.col("_seen").isNull() | (swim & F.col("_detailed").isNull())).drop("_seen", "_detailed")
+
+
 @dataclass
 class Debounce:
     """Notifications wait until it has been quiet, at most ``longest_s``, and at most ``most`` at a time."""

@@ -13,6 +13,36 @@ def activity_id(text: Column) -> Column:
     return F.lit(ID_OFFSET) + F.regexp_extract(text, r"(\d+)$", 1).cast("long")
 
 
+# Fields that both services call alike, and those of the first by their names at the second.
+ALIKE = (
+    "name", "type", "start_date", "timezone", "distance", "moving_time", "elapsed_time", "total_elevation_gain", "average_speed", "max_speed", "average_cadence", "average_temp",
+    "has_heartrate", "average_heartrate", "max_heartrate", "calories", "perceived_exertion", "device_name", "description",
+)
+RENAMED = {"sport_type": "type", "elev_high": "max_altitude", "elev_low": "min_altitude", "average_watts": "icu_average_watts", "weighted_average_watts": "icu_weighted_avg_watts"}
+
+
+def activities(documents: DataFrame) -> DataFrame:
+    """The second service's activities in the first one's form.
+
+    ``documents``: a column a field, and ``latlng`` and ``watts`` from the normalised streams. Absent fields are NULL. The local start has the
+    first service's mark; the offset is what lies between both starts; joules become kilojoules; places are the first and the last that were fixed (an
+    empty array if none was); power counts as measured where there is a meter or a power stream.
+    """
+    have = set(documents.columns)
+    c = lambda name, kind="string": F.col(name) if name in have else F.lit(None).cast(kind)
+    fixed = F.filter("latlng", lambda p: p.isNotNull())
+    place = lambda i: F.coalesce(F.try_element_at(fixed, F.lit(i)), F.array().cast("array<double>"))
+    local, yes = c("start_date_local"), lambda name: F.coalesce(c(name, "boolean"), F.lit(False))
+    return documents.select(
+        activity_id(F.col("id")).alias("id"), *[c(x).alias(x) for x in ALIKE], *[c(theirs).alias(ours) for ours, theirs in RENAMED.items()],
+        F.concat(F.coalesce(local, F.lit("")), F.lit("Z")).alias("start_date_local"),
+        (F.unix_seconds(F.try_to_timestamp(local)) - F.unix_seconds(F.try_to_timestamp(F.replace(c("start_date"), F.lit("Z"), F.lit(""))))).cast("double").alias("utc_offset"),
+        (c("icu_joules", "double") / 1000).alias("kilojoules"), (yes("power_meter") | F.coalesce(F.size("watts") > 0, F.lit(False))).alias("device_watts"),
+        c("gear_id").alias("gear_id"), (yes("trainer") | F.coalesce(c("type") == "VirtualRide", F.lit(False))).alias("trainer"), yes("commute").alias("commute"),
+        F.concat(F.lit("garmin:"), F.nullif(c("external_id"), F.lit(""))).alias("external_id"), place(1).alias("start_latlng"), place(-1).alias("end_latlng"),
+    )
+
+
 def rounded(values: Column) -> Column:
     """Whole numbers at their places; NULL keeps its place."""
     return F.transform(values, lambda x: F.bround(x).cast("long"))
