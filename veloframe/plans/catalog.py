@@ -687,3 +687,6 @@ def state_counts(spark, d):
 
     jobs = table(spark, d, "orders").select(F.col("o_orderstatus").alias("state"), F.col("o_orderdate").cast("date").alias("changed_at"))
     return counted(jobs, ["F", "O", "P", "failed"])
+
+
+from veloframe.plans import catalog_marts  # noqa: E402, F401  its queries join those above
