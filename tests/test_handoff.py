@@ -89,3 +89,33 @@ def test_diary(spark):
     assert {r.k: r.usable for r in handoff.evidence_usable(usable, "k").collect()} == {1: True, 2: False, 3: False}
     text = handoff.notice(spark.createDataFrame([(1, "swimming", 1.5, "x" * 3000), (2, "running", 5.04, "ok")], "activity_id long, sport string, distance_km double, text string")).orderBy("activity_id").collect()
     assert len(text[0].message) == 1900 and text[0].message.startswith("swimming · 1500 m\n") and text[1].message == "running · 5.0 km\nok"
+
+
+def test_linked_swims_against_all_pairs(spark):
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    some = lambda xs: rng.choice(xs)
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]
+    posts = [(rng.randrange(400), some(days), some([None, 0.0, 25.0, 49.9, float("inf"), float("nan"), *[100.0 * rng.randrange(1, 120)] * 9]), some([None, 600.0, 700.0, 900.0])) for _ in range(150)]
+    swims = [(rng.randrange(400), f"{d}T07:00:00" if d else None, some([None, 0.0, 25.0, 74.9, float("inf"), *[100.0 * rng.randrange(1, 120)] * 9]), some([None, 610, 720, 1000])) for d in (some(days) for _ in range(150))]
+    for off in (25.0, 0.5, 0.0):
+        pairs = [(p[0], w[0]) for p, w in itertools.product(posts, swims) if p[1] and w[1] and str(p[1]) == w[1][:10] and None not in (p[2], w[2]) and abs(p[2] - w[2]) <= off and (None in (p[3], w[3]) or abs(p[3] - w[3]) <= 120)]
+        once = lambda i, x: sum(p[i] == x for p in pairs) == 1
+        want = sorted(p for p in pairs if once(0, p[0]) and once(1, p[1]))
+        got = handoff.linked_swims(spark.createDataFrame(posts, "post int, day date, metres double, seconds double"), spark.createDataFrame(swims, "activity_id int, start_local string, distance double, moving_time int"), "post", off)
+        assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_linked_swims_of_equal_figures_meet_once(spark):
+    """A hundred thousand of each with one day and distance, of which none links, and a pair that does: their pairs are never dealt out."""
+    import time
+
+    n, day = 100_000, F.lit("2024-01-01")
+    at = F.when(F.col("id") > 0, 500.0).otherwise(900.0)
+    posts = spark.range(n).select("id", day.cast("date").alias("day"), at.alias("metres"), F.lit(None).cast("double").alias("seconds"))
+    swims = spark.range(n).select(F.col("id").alias("activity_id"), F.concat(day, F.lit("T07:00:00")).alias("start_local"), at.alias("distance"), F.lit(1800).alias("moving_time"))
+    start = time.monotonic()
+    assert list(map(tuple, handoff.linked_swims(posts, swims, "id").collect())) == [(0, 0)]
+    assert time.monotonic() - start < 60

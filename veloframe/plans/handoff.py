@@ -76,12 +76,32 @@ def diary_posts(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def linked_swims(posts: DataFrame, swims: DataFrame, id_: str, metres_off: float = 25.0, seconds_off: float = 120.0) -> DataFrame:
-    """Posts with the one swim of their day that agrees in distance, and in time if both tell it; none if several do, or if several posts claim it."""
-    other = swims.select(F.col("activity_id").alias("swim"), F.to_date("start_local").alias("day"), F.col("distance").alias("_m"), F.col("moving_time").cast("double").alias("_s"))
-    fits = (F.abs(F.col("metres") - F.col("_m")) <= metres_off) & F.coalesce(F.abs(F.col("seconds") - F.col("_s")) <= seconds_off, F.lit(True))
-    pairs = posts.join(other, "day").filter(fits)
-    by_post, by_swim = F.count(F.lit(1)).over(Window.partitionBy(id_)), F.count(F.lit(1)).over(Window.partitionBy("swim"))
-    return pairs.withColumns({"_p": by_post, "_w": by_swim}).filter("_p = 1 and _w = 1").select(id_, "swim")
+    """Posts with the one swim of their day that agrees in distance, and in time if both tell it; none if several do, or if several posts claim it.
+
+    Posts and swims of equal figures meet once for all of them, by day and cell of distance (and its two neighbours); how many a post or swim has is a sum of counts, so pairs are
+    never dealt out.
+    """
+    ours = posts.select(id_, F.col("day").alias("_day"), F.col("metres").cast("double").alias("_pm"), F.col("seconds").cast("double").alias("_ps")).filter(F.col("_day").isNotNull() & (F.abs("_pm") < float("inf")))
+    other = swims.select(F.col("activity_id").alias("swim"), F.to_date("start_local").alias("_day"), F.col("distance").cast("double").alias("_m"), F.col("moving_time").cast("double").alias("_s")).filter(F.col("_day").isNotNull() & (F.abs("_m") < float("inf")))
+    post, swim = ("_day", "_pm", "_ps"), ("_day", "_m", "_s")
+    cell = lambda c: F.floor(F.greatest(F.least(F.col(c) / max(2 * metres_off, 1.0), F.lit(1e18)), F.lit(-1e18)))  # noqa: E731  two values that fit are at most one cell apart
+    left = ours.groupBy(*post).agg(F.count(F.lit(1)).alias("_np")).withColumn("_cell", F.explode(F.array(*[cell("_pm") + i for i in (-1, 0, 1)])))
+    right = other.groupBy(*swim).agg(F.count(F.lit(1)).alias("_nw")).withColumn("_cell", cell("_m"))
+    fits = (F.abs(F.col("_pm") - F.col("_m")) <= metres_off) & F.coalesce(F.abs(F.col("_ps") - F.col("_s")) <= seconds_off, F.lit(True))
+    pairs = left.join(right, ["_day", "_cell"]).filter(fits)
+    by_post = pairs.groupBy(*post).agg(F.sum("_nw").alias("_n"), F.max(F.struct("_m", "_s")).alias("_to"))
+    by_swim = pairs.groupBy(*swim).agg(F.sum("_np").alias("_n"))
+
+    def alone(rows: DataFrame, figures: Sequence[str], counts: DataFrame, key: str, *keep: str) -> DataFrame:
+        """Ids with one pair in all, with what is kept of its row."""
+        renamed = counts.withColumnsRenamed({c: f"{c}_k" for c in figures})
+        same = [F.col(c).eqNullSafe(F.col(f"{c}_k")) for c in figures]
+        found = rows.join(renamed, same).groupBy(key).agg(F.sum("_n").alias("_n"), F.max(F.struct(*keep)).alias("_kept"))
+        return found.filter("_n = 1").select(key, "_kept.*")
+
+    mine = alone(ours, post, by_post, id_, "_day", "_to").select(id_, "_day", F.col("_to._m").alias("_m"), F.col("_to._s").alias("_s"))
+    theirs = alone(other, swim, by_swim, "swim", *swim).select("swim", *[F.col(c).alias(f"{c}_k") for c in swim])
+    return mine.join(theirs, [F.col(c).eqNullSafe(F.col(f"{c}_k")) for c in swim]).select(id_, "swim")
 
 
 def new_notes(notes: DataFrame, links: DataFrame) -> DataFrame:
