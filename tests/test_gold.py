@@ -148,3 +148,23 @@ def test_job_states(spark):
     jobs = spark.createDataFrame([(1, 0, "analyzing"), (2, 4, "sending")], "id int, tries int, state string")
     assert [(r.state, r.tries) for r in coach.next_state(jobs, "2024-01-01 00:00:00").orderBy("id").collect()] == [("pending", 1), ("failed", 5)]
     assert [r.state for r in coach.recovered(jobs).orderBy("id").collect()] == ["pending", "unknown"]
+
+
+def test_setups_by_day_and_label_by_epoch(spark):
+    """Rides and changes in numbers whose pairs, or whose label on each ride, would take minutes."""
+    import time
+
+    n, day = 100_000, dt.date(2024, 1, 5)
+    k = F.col("id")
+    acts = spark.range(n).select(k.alias("activity_id"), F.lit(day).alias("activity_date"), F.lit("cycling").alias("sport"), F.lit(1.0).alias("distance_km"), F.lit(3600).alias("moving_time"))
+    changes = spark.range(n).select(F.when(k % 2 == 0, "road").otherwise(gold.SHOES).alias("target"), F.date_sub(F.lit(day), (k % 3).cast("int")).alias("effective_date"), F.concat(F.lit("saddle of many words "), k).alias("change_label"))
+    felt = spark.createDataFrame([(1, day, "무릎내측", "좌", 5, 4, None)], "activity_id long, symptom_date date, area string, side string, severity long, next_day long, confounders string")
+    power = spark.createDataFrame([], "activity_id long, np double, intensity double, tss double")
+    load = spark.createDataFrame([], "activity_id long, grind_s long, climb_cadence double, ftp_anchor double")
+    start = time.monotonic()
+    bike = F.when(F.col("activity_id") % 2 == 0, "road")
+    rides = gold.mart_symptom_ride(acts, felt, changes, power, load, bike)
+    assert [tuple(r) for r in rides.groupBy("setup_since").count().collect()] == [(day, n)]  # without a bike, what all share counts
+    (epoch,) = gold.mart_fitting_epochs(rides, changes, "road").collect()
+    assert (epoch.epoch, epoch.epoch_start, epoch.n_changes, epoch.rides, len(epoch.changes.split(", "))) == ("2024-01-05", day, 33_334, n // 2, 33_334)
+    assert time.monotonic() - start < 60
