@@ -425,3 +425,36 @@ def test_held_out_column(spark):
 
     got = spark.range(50).select(F.col("id").alias("doc_id")).select("doc_id", languages.held_out().alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    values = np.concatenate([np.random.default_rng(1).standard_cauchy(3000) ** 3, np.full(500, 0.25), [0.0, -0.0]])
+    table = spark.createDataFrame([(float(x),) for x in values], "v double")
+    for share in (0.0, 0.5, 0.99, 1.0):
+        assert languages.exact_quantile(table, share, held=20) == pytest.approx(np.quantile(values, share), rel=1e-12)
+
+
+def test_language_thresholds_come_from_all_documents(spark, sf):
+    """Against the same figures over all training documents at once, more than any sample had."""
+    import numpy as np
+
+    own = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    docs = own.filter("lang is not null and text is not null").crossJoin(spark.range(15).withColumnRenamed("id", "k")).select("doc_id", F.concat(F.substring("text", 1, 40), F.lit(" "), F.substring("text", F.col("k").cast("int") * 7, F.lit(60))).alias("text"), "lang")
+    rows = docs.collect()
+    assert len(rows) > 2000
+    model = languages.learned(docs)
+    entropy, counts = model.entropies([r.text for r in rows])
+    truth = np.array([model.names.index(r.lang) for r in rows])[counts > 0]
+    entropy, counts = entropy[counts > 0], counts[counts > 0]
+    right = entropy[np.arange(len(truth)), truth]
+    mean = np.array([np.average(right[truth == i], weights=counts[truth == i]) for i in range(len(model.names))])
+    assert model.mean == pytest.approx(mean, abs=1e-9)
+    square = (right - mean[truth]) ** 2
+    b = max(languages.FLOOR**2, np.median(square[counts >= np.median(counts)]))
+    a = max(0.05, np.median((square - b).clip(0) * counts))
+    off = (right - mean[truth]) / np.sqrt(a / counts + b)
+    high = np.quantile(off, 0.99)
+    assert model.spread == pytest.approx((a, b), rel=1e-6)
+    assert model.reject_at == pytest.approx(max(3.0, high + (off[off >= high] - high).mean() * np.log(0.01 / 1e-6)), rel=1e-6)

@@ -3,9 +3,9 @@
 Texts become lower-cased letters (composed, with their marks) with single spaces between words. All training documents are counted: one shuffle sums the
 4-grams of each language, and every lower order follows from them (continuation counts). Each language's model is a set of sorted
 arrays of packed n-grams. A text gets the language of least cross-entropy per character. How sure that is comes
-from a bounded calibration sample (about ``calibration_rows`` training documents, picked by hash): a temperature for the posterior, the
+from all training documents, which the executors score once more: a temperature for the posterior, the
 spread of the right language's cross-entropy by length, and how many spreads off a text has to be to be rejected as
-written in none of the languages: the sample's top hundredth, carried on as an exponential tail to a share of ``false_rejects`` of texts in known languages. No count is left out. If there are more than ``max_grams`` 4-grams, models come in parts of about that many, by the
+written in none of the languages: their top hundredth, carried on as an exponential tail to a share of ``false_rejects`` of texts in known languages. No count is left out. If there are more than ``max_grams`` 4-grams, models come in parts of about that many, by the
 last character but one: all orders above the first that a 4-gram asks for stand in the same part, and what parts share (discounts and the first order)
 is small. Parts are broadcast one by one and a worker holds one at a time; only the 4-grams of a single last character but one are never parted.
 
@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import STEP_BYTES, bounded_sample, byte_column, extended, set_aside, steps
+from veloframe.llm.common import STEP_BYTES, byte_column, extended, release, set_aside, staged, steps
 
 ORDER = 4
 _SPACE = 32
@@ -188,7 +188,7 @@ def _batched(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
         yield lo, column.slice(lo, hi - lo).to_pylist()
 
 
-def learned(training: DataFrame, max_grams: int = 4_000_000, calibration_rows: int = 2000, false_rejects: float = 1e-6) -> Identifier:
+def learned(training: DataFrame, max_grams: int = 4_000_000, false_rejects: float = 1e-6) -> Identifier:
     """Models from ``training`` (doc_id, text, lang; rows without lang don't count), in parts of about ``max_grams`` 4-grams."""
     training = training.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
@@ -229,37 +229,74 @@ def learned(training: DataFrame, max_grams: int = 4_000_000, calibration_rows: i
     if names:
         gc.collect()
         pa.default_memory_pool().release_unused()
-        _calibrate(out, bounded_sample(training.select("doc_id", "text", "lang"), ["doc_id", "text"], calibration_rows), false_rejects)
+        _calibrate(out, training, false_rejects)
     return out
 
 
-def _calibrate(model: Identifier, rows: list, false_rejects: float) -> None:
-    if not rows:
-        return
-    sizes = np.cumsum([0, *(len(r.text) for r in rows)])
-    asked = [model.entropies([r.text for r in rows[lo:hi]]) for lo, hi in steps(sizes, STEP_BYTES)]
-    for part in model.parts:  # the driver's own copy
-        part.__dict__.pop("_value", None)
-    entropy, counts = (np.concatenate(x) for x in zip(*asked, strict=True))
-    truth = np.array([model.names.index(r.lang) if r.lang in model.names else -1 for r in rows])
-    use = (counts > 0) & (truth >= 0)
-    if not use.any():
-        return
-    entropy, counts, truth = entropy[use], counts[use], truth[use]
-    own = entropy[np.arange(len(truth)), truth]
-
-    def loss(t: float) -> float:
-        z = -t * (entropy - entropy.min(axis=1, keepdims=True))
-        return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(truth)), truth]).mean())
-
-    model.temperature = min((2.0**k for k in range(-1, 9)), key=loss)
-    model.mean = np.array([np.average(own[truth == i], weights=counts[truth == i]) if (truth == i).any() else own.mean() for i in range(len(model.names))])
-    square = (own - model.mean[truth]) ** 2
-    b = max(FLOOR**2, float(np.median(square[counts >= np.median(counts)])))
-    model.spread = (max(0.05, float(np.median((square - b).clip(0) * counts))), b)
-    off = (own - model.mean[truth]) / np.sqrt(model.spread[0] / counts + b)
-    high = np.quantile(off, 0.99)
-    model.reject_at = max(3.0, float(high + (off[off >= high] - high).mean() * np.log(0.01 / false_rejects)))
+#: Temperatures that calibration chooses from.
+_TEMPERATURES = [2.0**k for k in range(-1, 9)]
+
+
+def _at(values: DataFrame, rank: int, lo: float, hi: float, n: int, held: int) -> float:
+    """The value of a rank among those of column ``v``: counts of 1,024 bins of the range, then of the bin that holds it, until few are left."""
+    while n > held and lo < hi:
+        bins = values.filter(F.col("v").between(lo, hi)).groupBy(F.least(F.floor((F.col("v") - lo) / (hi - lo) * 1024), F.lit(1023)).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for r in sorted(bins.collect()):
+            if rank < r.n:
+                lo, hi, n = r.lo, r.hi, r.n
+                break
+            rank -= r.n
+    return lo if lo == hi else float(np.partition(values.filter(F.col("v").between(lo, hi)).toArrow().column("v").to_numpy(), rank)[rank])
+
+
+def exact_quantile(values: DataFrame, share: float, held: int = 50_000) -> float:
+    """The quantile of column ``v`` over all rows, between two ranks as numpy has it; at most ``held`` values are on the driver at a time."""
+    r = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n")).first()
+    if r.n <= held:
+        return float(np.quantile(values.toArrow().column("v").to_numpy(), share))
+    place = share * (r.n - 1)
+    low = _at(values, int(place), r.lo, r.hi, r.n, held)
+    return low if place == int(place) else low + (place - int(place)) * (_at(values, int(place) + 1, r.lo, r.hi, r.n, held) - low)
+
+
+def _calibrate(model: Identifier, training: DataFrame, false_rejects: float) -> None:
+    """Temperature, means, spread and threshold from all of ``training`` (text, lang): the executors score it, and figures are sums and quantiles over the scores."""
+    names = model.names
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column("lang")
+            for lo, texts in _batched(batch.column("text")):
+                entropy, counts = model.entropies(texts)
+                truth = np.array([names.index(x) for x in langs.slice(lo, len(texts)).to_pylist()])
+                use = counts > 0
+                entropy, counts, truth = entropy[use], counts[use], truth[use]
+                if not len(truth):
+                    continue
+                each = np.arange(len(truth))
+                off = entropy - entropy.min(axis=1, keepdims=True)
+                losses = [float((np.log(np.exp(-t * off).sum(axis=1)) + t * off[each, truth]).sum()) for t in _TEMPERATURES]
+                first = [losses] + [None] * (len(truth) - 1)  # a step's sums stand in its first row
+                yield pa.RecordBatch.from_arrays([pa.array(truth), pa.array(counts.astype(np.int64)), pa.array(entropy[each, truth]), pa.array(first, pa.list_(pa.float64()))], ["truth", "n", "own", "losses"])
+
+    scores = staged(training.select("text", "lang").mapInArrow(score, "truth long, n long, own double, losses array<double>"), "calibration")
+    exact = lambda c: F.sum(c.cast("decimal(28, 12)"))  # noqa: E731  the same in whatever order rows are added
+    own = {r.truth: r for r in scores.groupBy("truth").agg(exact(F.col("own") * F.col("n")).alias("nats"), F.sum("n").alias("n"), exact(F.col("own")).alias("own"), F.count(F.lit(1)).alias("rows")).collect()}
+    if own:
+        losses = scores.agg(*[F.sum(F.col("losses")[i]).alias(f"t{i}") for i in range(len(_TEMPERATURES))]).first()
+        model.temperature = min(zip(losses, _TEMPERATURES, strict=True))[1]
+        other = float(sum(r.own for r in own.values())) / sum(r.rows for r in own.values())
+        model.mean = np.array([float(own[i].nats) / own[i].n if i in own else other for i in range(len(names))])
+        apart = F.col("own") - F.element_at(F.array(*map(F.lit, model.mean.tolist())), (F.col("truth") + 1).cast("int"))
+        middle = exact_quantile(scores.select(F.col("n").cast("double").alias("v")), 0.5)
+        b = max(FLOOR**2, exact_quantile(scores.filter(F.col("n") >= middle).select((apart * apart).alias("v")), 0.5))
+        a = max(0.05, exact_quantile(scores.select((F.greatest(apart * apart - b, F.lit(0.0)) * F.col("n")).alias("v")), 0.5))
+        model.spread = (a, b)
+        off = scores.select((apart / F.sqrt(a / F.col("n") + b)).alias("v"))
+        high = exact_quantile(off, 0.99)
+        tail = off.filter(F.col("v") >= high).agg(exact(F.col("v") - high).alias("sum"), F.count(F.lit(1)).alias("n")).first()
+        model.reject_at = max(3.0, high + float(tail["sum"]) / tail.n * float(np.log(0.01 / false_rejects)))
+    release(training.sparkSession, scores)
 
 
 def identify(docs: DataFrame, model: Identifier) -> DataFrame:
