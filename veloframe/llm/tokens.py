@@ -103,12 +103,14 @@ class Encoder:
             parts[0] = ""
             ids = list(map(get, parts))
             ids[0] = head
-            found.append(ids)
-            if None in ids:
+            try:  # joining finds a None sooner than looking for one
+                out[i] = b"".join(ids)
+            except TypeError:
+                found.append((i, parts, ids))
                 missing.update([p for p, x in zip(parts, ids, strict=True) if x is None])
         new = self._resolved(missing) if missing else {}
-        for i, parts, ids in zip(cut, split, found, strict=True):
-            out[i] = b"".join([new[p] if x is None else x for p, x in zip(parts, ids, strict=True)] if None in ids else ids)
+        for i, parts, ids in found:
+            out[i] = b"".join([new[p] if x is None else x for p, x in zip(parts, ids, strict=True)])
         return out
 
 
