@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from veloframe.llm import packing, rans, ring, token_files
@@ -28,6 +29,26 @@ def test_pieces_are_the_librarys(library):
     assert library.encode([None, ""]) == [b"", b""]
 
 
+def test_letters_go_to_the_model_without_the_splitter(library, monkeypatch):
+    """Each part of letters, marks and line ends is what the library makes of it, and the library's splitter gets none of them."""
+    rng = random.Random(5)
+    letters = ["ab", "Qu", "é", "ß", "中", "ж", "ñ", "\u01c5", "\U00010400", "s", "re"]
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(1, 5)))
+    part = lambda: "\n".join(word() + "".join(rng.choices(",.;:!?)]#&", k=rng.choice((0, 0, 1, 3)))) for _ in range(rng.choice((1, 1, 1, 2, 3))))
+    texts = [" ".join(part() for _ in range(rng.randint(1, 40))) for _ in range(300)] + [None, "", "it's", "a\n\nb c", "a 1\nb", "a \nb", "a\n b", "x\ny's z's"]
+    fresh, given = Encoder(default_vocabulary()), []
+    want = library.whole([x or "" for x in texts])
+    asked = Encoder.parts
+    monkeypatch.setattr(Encoder, "parts", lambda self, new: given.extend(new) or asked(self, new))
+    assert fresh.encode(texts) == want and fresh.encode(texts[::-1]) == want[::-1]
+    assert set(given) <= {"z's", "1\nb", "\nb"}
+    column = pa.array(texts).slice(3, 302)
+    ids, at = fresh.encode_column(column, 7)
+    assert [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)] == [x + np.array([7], fresh.kind).tobytes() for x in want[3:305]]
+    assert [x.tolist() for x in fresh.encode_column(pa.array([], pa.string()), 7)] == [[], [0]]
+    assert fresh.encode_column(pa.array([None, ""], pa.string()), 7)[0].tolist() == [7, 7]
+
+
 def test_coder_round_trip():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.3, 200_000), 50_000)
@@ -47,6 +68,15 @@ def test_joined_checksums():
     assert rans.crc_joined([(zlib.crc32(x), len(x)) for x in (a, b, c)]) == zlib.crc32(a + b + c)
 
 
+def test_checksums_are_joined_without_new_matrices(monkeypatch):
+    rans.crc_joined([(1, 1 << 20), (1, 1 << 20)])
+    calls, times = [], rans._times
+    monkeypatch.setattr(rans, "_times", lambda m, v: calls.append(v) or times(m, v))
+    raw = bytes(range(250)) * 4000
+    assert rans.crc_joined([(zlib.crc32(raw), len(raw)), (zlib.crc32(raw[:999]), 999), (zlib.crc32(raw[5:]), len(raw) - 5)]) == zlib.crc32(raw + raw[:999] + raw[5:])
+    assert len(calls) <= 2 * 24
+
+
 def test_token_files(spark, repeated, empty, library):
     files = token_files.write_tokens(repeated)
     got = token_files.digests(token_files.read_tokens(spark, files)).orderBy("start").collect()

@@ -156,22 +156,28 @@ def crc_joined(parts: list[tuple[int, int]]) -> int:
     return total
 
 
-def _crc_shift(value: int, n: int) -> int:
-    """crc32 ``value`` carried over n zero bytes (GF(2) matrices, squared)."""
-    def times(mat: list[int], vec: int) -> int:
-        out, i = 0, 0
-        while vec:
-            if vec & 1:
-                out ^= mat[i]
-            vec >>= 1
-            i += 1
-        return out
+def _times(mat: list[int], vec: int) -> int:
+    out, i = 0, 0
+    while vec:
+        if vec & 1:
+            out ^= mat[i]
+        vec >>= 1
+        i += 1
+    return out
+
 
-    mat = [0xEDB88320, *(1 << i for i in range(31))]
-    bits = 8 * n
+#: GF(2) matrices that carry a crc32 over 2**k zero bits, each the square of the one before; made once for each process.
+_ZEROS = [[0xEDB88320, *(1 << i for i in range(31))]]
+
+
+def _crc_shift(value: int, n: int) -> int:
+    """crc32 ``value`` carried over n zero bytes."""
+    bits, k = 8 * n, 0
     while bits and value:
+        if k == len(_ZEROS):
+            _ZEROS.append([_times(_ZEROS[-1], x) for x in _ZEROS[-1]])
         if bits & 1:
-            value = times(mat, value)
-        mat = [times(mat, x) for x in mat]
+            value = _times(_ZEROS[k], value)
         bits >>= 1
+        k += 1
     return value

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from veloframe.llm import rans
 from veloframe.llm.common import byte_column, release, scratch, staged, steps
-from veloframe.llm.tokens import default_vocabulary, encoder
+from veloframe.llm.tokens import STEP_BYTES, default_vocabulary, encoder
 
 #: Blocks that are coded side by side.
 GROUP = 128
@@ -34,14 +34,14 @@ def token_rows(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int)
 
     part, at = TaskContext.get().partitionId(), 0
     tool = encoder(vocabulary)
-    end = np.array([end_id], tool.kind).tobytes()
     for batch in batches:
         _, offsets = byte_column(batch.column("text"))
-        for lo, hi in steps(offsets):
-            ids = [x + end for x in tool.encode(batch.column("text").slice(lo, hi - lo).to_pylist())]
-            n = np.array([len(x) // tool.kind.itemsize for x in ids], np.int64)
+        for lo, hi in steps(offsets, STEP_BYTES):
+            ids, cuts = tool.encode_column(batch.column("text").slice(lo, hi - lo), end_id)
+            n = np.diff(cuts)
+            raw = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((cuts * tool.kind.itemsize).astype(np.int32)), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(hi - lo, part, np.int32)), pa.array(at + np.cumsum(n) - n), batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n), pa.array(ids, pa.binary())],
+                [pa.array(np.full(hi - lo, part, np.int32)), pa.array(at + np.cumsum(n) - n), batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n), raw],
                 ["part", "local_start", "doc_id", "n_tokens", "ids"],
             )
             at += int(n.sum())
